@@ -12,15 +12,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import bm25
+from quarry.functions.text import clean_text, lexical_text, snippet, tokens
+from quarry.operators import bm25, dense, encode, fusion, metrics, relevance, report
+from quarry.operators import corpus as corpus_ops
+from quarry.operators import retrieve as retrieve_ops
+from quarry.plans.workspace import Workspace
+from quarry.session import scratch_path
 from quarry.sources import fixtures as fx
+from quarry.sources import readers, writers
+from quarry.streaming import incremental
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
+# Cut-offs, list sizes and encoder widths used by the fixtures.
 K_VALUES = (5, 10, 20)
 TOP_K = 20
 DEPTH = 100
+PAD_K = 500
+HASH_DIM = 128
+SMALL_HASH_DIM = 32
+QUARANTINE_CHARS = 15000
+METHOD_NAMES = {"dense": "Dense (baseline)", "rrf": "RRF-2 (BM25 + Dense)"}
+
+
+class LengthLimitedFactory:
+    """Hashing encoder that refuses texts longer than a limit (as a model with a
+    maximum input would); used to exercise per-row quarantine."""
+
+    def __init__(self, max_chars: int):
+        self.max_chars = max_chars
+
+    def __call__(self):
+        inner = encode.HashingEncoder(HASH_DIM)
+        limit = self.max_chars
+
+        def run(texts):
+            for t in texts:
+                if len(t) > limit:
+                    raise ValueError(f"text of {len(t)} characters exceeds {limit}")
+            return inner(texts)
+        return run
 
 
 def register(name: str):
@@ -42,7 +74,7 @@ def ranking_out(df: DataFrame, qid: str = "qid", id_col: str = "doc_id") -> Data
 
 # ---------------------------------------------------------------- lexical
 def _doc_index(spark, sf_dir) -> bm25.Bm25Index:
-    return bm25.build_index(fx.documents_corpus(spark, sf_dir))
+    return Workspace.of(spark, sf_dir).index()
 
 
 @register("bm25_topk")
@@ -50,3 +82,402 @@ def bm25_topk(spark, sf_dir):
     idx = _doc_index(spark, sf_dir)
     ranking = bm25.top_k_lexical(idx, fx.benchmark_queries(spark, sf_dir), k=TOP_K)
     return ranking_out(ranking)
+
+
+@register("bm25_padded")
+def bm25_padded(spark, sf_dir):
+    docs = fx.documents_corpus(spark, sf_dir)
+    idx = _doc_index(spark, sf_dir)
+    ranking = bm25.top_k_lexical(idx, fx.benchmark_queries(spark, sf_dir), k=PAD_K,
+                                 pad_unmatched=True, corpus_ids=docs)
+    return ranking_out(ranking)
+
+
+@register("conversation_bm25")
+def conversation_bm25(spark, sf_dir):
+    idx = _doc_index(spark, sf_dir)
+    return ranking_out(bm25.top_k_lexical(idx, fx.conversation_queries(spark, sf_dir), k=TOP_K))
+
+
+@register("tokenize")
+def tokenize(spark, sf_dir):
+    docs = fx.documents_corpus(spark, sf_dir)
+    return docs.select("doc_id", F.posexplode(tokens(lexical_text())).alias("pos", "token")) \
+               .select("doc_id", F.col("pos").cast("int").alias("pos"), "token")
+
+
+@register("term_frequency")
+def term_frequency(spark, sf_dir):
+    return _doc_index(spark, sf_dir).postings.select("doc_id", "token", "tf", "doc_len")
+
+
+@register("doc_lengths")
+def doc_lengths(spark, sf_dir):
+    dt = bm25.document_tokens(fx.documents_corpus(spark, sf_dir))
+    return bm25.doc_lengths(dt)
+
+
+@register("corpus_stats")
+def corpus_stats(spark, sf_dir):
+    cs = _doc_index(spark, sf_dir).corpus_stats
+    return cs.select("n_docs", "n_tokens", r6("avgdl"), "n_terms", r6("avg_idf"))
+
+
+@register("term_idf")
+def term_idf(spark, sf_dir):
+    return _doc_index(spark, sf_dir).term_stats.select("token", "df", r6("idf"))
+
+
+# ---------------------------------------------------------------- corpus preparation
+def _unified(spark, sf_dir):
+    return corpus_ops.unify([fx.documents_as_source(spark, sf_dir), fx.pages_corpus(spark, sf_dir)])
+
+
+@register("corpus_unify")
+def corpus_unify(spark, sf_dir):
+    return _unified(spark, sf_dir).select(*corpus_ops.CORPUS_COLUMNS)
+
+
+@register("corpus_source_counts")
+def corpus_source_counts(spark, sf_dir):
+    return corpus_ops.source_counts(_unified(spark, sf_dir))
+
+
+@register("contents_concat")
+def contents_concat(spark, sf_dir):
+    return fx.pages_corpus(spark, sf_dir).select("doc_id", "contents")
+
+
+@register("text_fallback")
+def text_fallback(spark, sf_dir):
+    return _unified(spark, sf_dir).select("doc_id", lexical_text().alias("lex_text"))
+
+
+@register("encoder_text_clean")
+def encoder_text_clean(spark, sf_dir):
+    d = fx.table(spark, sf_dir, "documents")
+    return d.select("doc_id", clean_text("text").alias("clean_text"))
+
+
+@register("snippet")
+def snippet_q(spark, sf_dir):
+    return fx.documents_corpus(spark, sf_dir).select("doc_id", snippet("content").alias("snippet"))
+
+
+@register("fixed_chunks")
+def fixed_chunks(spark, sf_dir):
+    return corpus_ops.fixed_chunks(fx.documents_corpus(spark, sf_dir), "doc_id", "contents", 1000)
+
+
+@register("recursive_chunks")
+def recursive_chunks(spark, sf_dir):
+    return corpus_ops.recursive_chunks(fx.documents_corpus(spark, sf_dir), "doc_id", "contents", 1000)
+
+
+# ---------------------------------------------------------------- dense
+def _embedding_vectors(spark, sf_dir):
+    return dense.normalize(fx.embedding_vectors(spark, sf_dir))
+
+
+def _doc_hash_vectors(spark, sf_dir, dim=HASH_DIM):
+    return Workspace.of(spark, sf_dir).doc_vectors(dim)
+
+
+def _query_hash_vectors(spark, sf_dir, dim=HASH_DIM):
+    return Workspace.of(spark, sf_dir).query_vectors(dim)
+
+
+def long_vectors(df: DataFrame, id_col: str = "doc_id", vec_col: str = "embedding",
+                 nonzero: bool = True) -> DataFrame:
+    out = (df.select(id_col, F.posexplode(vec_col).alias("dim", "value"))
+             .select(id_col, F.col("dim").cast("int").alias("dim"), F.round("value", 6).alias("value")))
+    return out.where(F.col("value") != 0) if nonzero else out
+
+
+@register("l2_normalize")
+def l2_normalize_q(spark, sf_dir):
+    return long_vectors(_embedding_vectors(spark, sf_dir), nonzero=False)
+
+
+@register("dense_topk")
+def dense_topk(spark, sf_dir):
+    v = _embedding_vectors(spark, sf_dir)
+    ranking = dense.topk(v, v.withColumnRenamed("doc_id", "qid"), k=TOP_K, exclude_self=True)
+    return ranking_out(ranking)
+
+
+@register("hash_encode")
+def hash_encode_q(spark, sf_dir):
+    return long_vectors(_doc_hash_vectors(spark, sf_dir))
+
+
+@register("dense_text_topk")
+def dense_text_topk(spark, sf_dir):
+    ranking = dense.topk(_doc_hash_vectors(spark, sf_dir), _query_hash_vectors(spark, sf_dir), k=TOP_K)
+    return ranking_out(ranking)
+
+
+@register("encode_quarantine")
+def encode_quarantine(spark, sf_dir):
+    d = fx.documents_corpus(spark, sf_dir)
+    out = encode.encode(d, id_col="doc_id", text_col="contents",
+                        encoder_factory=LengthLimitedFactory(QUARANTINE_CHARS))
+    dims = F.when(F.col("embedding").isNotNull(), F.size("embedding"))
+    return out.select("doc_id", "status", dims.cast("int").alias("dims"))
+
+
+@register("vector_coverage")
+def vector_coverage(spark, sf_dir):
+    vecs = _doc_hash_vectors(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("string"))
+    return dense.coverage(_unified(spark, sf_dir), vecs)
+
+
+# ---------------------------------------------------------------- fusion / retrieval
+def _bench_ranking(spark, sf_dir, method, k=TOP_K, depth=DEPTH):
+    return Workspace.of(spark, sf_dir).ranking(method, k, depth)
+
+
+@register("rrf2")
+def rrf2(spark, sf_dir):
+    return ranking_out(_bench_ranking(spark, sf_dir, "rrf"))
+
+
+@register("rrf3")
+def rrf3(spark, sf_dir):
+    q = fx.benchmark_queries(spark, sf_dir)
+    lists = [bm25.top_k_lexical(_doc_index(spark, sf_dir), q, k=DEPTH)]
+    for dim in (HASH_DIM, SMALL_HASH_DIM):
+        lists.append(dense.topk(_doc_hash_vectors(spark, sf_dir, dim),
+                                _query_hash_vectors(spark, sf_dir, dim), k=DEPTH))
+    return ranking_out(fusion.rrf(lists, k=TOP_K))
+
+
+def _results(spark, sf_dir, method):
+    return Workspace.of(spark, sf_dir).results(method, TOP_K, DEPTH)
+
+
+def results_out(df: DataFrame) -> DataFrame:
+    return df.select("qid", "method", F.col("rank").cast("int").alias("rank"), r6("score"),
+                     "id", "title", "content")
+
+
+@register("retrieve_bm25")
+def retrieve_bm25(spark, sf_dir):
+    return results_out(_results(spark, sf_dir, "bm25"))
+
+
+@register("retrieve_dense")
+def retrieve_dense(spark, sf_dir):
+    return results_out(_results(spark, sf_dir, "dense"))
+
+
+@register("retrieve_rrf")
+def retrieve_rrf(spark, sf_dir):
+    return results_out(_results(spark, sf_dir, "rrf"))
+
+
+@register("result_preview")
+def result_preview(spark, sf_dir):
+    p = corpus_ops.preview(_results(spark, sf_dir, "rrf"))
+    return p.select("qid", F.col("rank").cast("int").alias("rank"), "id", "title", r6("score"))
+
+
+def _run(spark, sf_dir, method):
+    q = fx.benchmark_queries(spark, sf_dir)
+    return retrieve_ops.build_run(_results(spark, sf_dir, method), q,
+                                  latency_ms=synthetic_latency())
+
+
+def synthetic_latency():
+    """Fixed stand-in for a per-query wall clock: 1 ms per question character."""
+    return F.length("question").cast("double")
+
+
+@register("run_flat")
+def run_flat(spark, sf_dir):
+    flat = retrieve_ops.flatten_run(_run(spark, sf_dir, "rrf"))
+    return flat.select("qid", "question", "method", "retriever", r6("latency_ms"),
+                       F.col("num_results").cast("int").alias("num_results"),
+                       F.col("rank").cast("int").alias("rank"), r6("score"), "id", "title", "content")
+
+
+@register("run_nested")
+def run_nested(spark, sf_dir):
+    path = scratch_path(spark, "run_nested")
+    writers.write_run(_run(spark, sf_dir, "rrf"), path)
+    flat = retrieve_ops.flatten_run(readers.read_run(spark, path, layout="lines"))
+    return flat.select("qid", "question", "method", "retriever", r6("latency_ms"),
+                       F.col("num_results").cast("int").alias("num_results"),
+                       F.col("rank").cast("int").alias("rank"), r6("score"), "id", "title", "content")
+
+
+@register("query_request_join")
+def query_request_join(spark, sf_dir):
+    q = fx.conversation_queries(spark, sf_dir)
+    return q.join(fx.conversation_requests(spark, sf_dir), "qid", "left").select(
+        "qid", "question", "answer")
+
+
+# ---------------------------------------------------------------- relevance / metrics
+@register("known_item_gold")
+def known_item_gold(spark, sf_dir):
+    return relevance.known_item_gold(fx.documents_corpus(spark, sf_dir),
+                                     fx.benchmark_queries(spark, sf_dir))
+
+
+def _keyword_judged(spark, sf_dir, method):
+    return relevance.keyword_gains(_results(spark, sf_dir, method),
+                                   fx.benchmark_keyword_rules(spark, sf_dir))
+
+
+@register("keyword_relevance")
+def keyword_relevance(spark, sf_dir):
+    j = _keyword_judged(spark, sf_dir, "rrf")
+    return j.select("qid", F.col("rank").cast("int").alias("rank"), "doc_id", "gain")
+
+
+@register("gold_relevance")
+def gold_relevance(spark, sf_dir):
+    j = relevance.gold_gains(_results(spark, sf_dir, "rrf"), fx.label_gold(spark, sf_dir),
+                             id_col="doc_id", gold_id_col="doc_id")
+    return j.select("qid", F.col("rank").cast("int").alias("rank"), "doc_id", "gain")
+
+
+def _gains(spark, sf_dir):
+    judged = _keyword_judged(spark, sf_dir, "dense").unionByName(
+        _keyword_judged(spark, sf_dir, "rrf"))
+    return metrics.ordered_gains(judged)
+
+
+@register("gains")
+def gains(spark, sf_dir):
+    g = _gains(spark, sf_dir)
+    return g.select("qid", "method", F.col("pos").cast("int").alias("pos"), "gain")
+
+
+def _metrics_q(spark, sf_dir, with_dcg=False):
+    return metrics.per_query(_gains(spark, sf_dir), K_VALUES, with_dcg=with_dcg)
+
+
+def metric_out(df: DataFrame) -> DataFrame:
+    return df.select("qid", "method", "metric", F.col("k").cast("int").alias("k"), r6("value"))
+
+
+def _one_metric(name):
+    def q(spark, sf_dir):
+        m = _metrics_q(spark, sf_dir, with_dcg=name in ("dcg", "idcg"))
+        return metric_out(m.where(F.col("metric") == name))
+    return q
+
+
+for _m in ("hit", "mrr", "recall", "dcg", "idcg", "ndcg"):
+    register(f"{_m}_at_k")(_one_metric(_m))
+
+
+@register("recall_gold_at_k")
+def recall_gold_at_k(spark, sf_dir):
+    gold = relevance.known_item_gold(fx.documents_corpus(spark, sf_dir),
+                                     fx.benchmark_queries(spark, sf_dir))
+    judged = relevance.gold_gains(_results(spark, sf_dir, "rrf"), gold,
+                                  id_col="doc_id", gold_id_col="doc_id")
+    counts = gold.where(F.col("relevance_score") >= 1).groupBy("qid").agg(
+        F.count(F.lit(1)).alias("n_relevant"))
+    m = metrics.per_query(metrics.ordered_gains(judged), K_VALUES, gold_counts=counts,
+                          metrics=("recall",))
+    return metric_out(m)
+
+
+@register("metrics_per_query")
+def metrics_per_query(spark, sf_dir):
+    return metric_out(_metrics_q(spark, sf_dir))
+
+
+def _summary(spark, sf_dir):
+    return metrics.summarize(_metrics_q(spark, sf_dir))
+
+
+def summary_out(df: DataFrame) -> DataFrame:
+    return df.select("method", "metric", F.col("k").cast("int").alias("k"), r6("value"),
+                     "n_values", "n_queries")
+
+
+@register("metrics_summary")
+def metrics_summary(spark, sf_dir):
+    return summary_out(_summary(spark, sf_dir))
+
+
+def _latency(spark, sf_dir):
+    runs = _run(spark, sf_dir, "dense").unionByName(_run(spark, sf_dir, "rrf"))
+    return metrics.avg_latency(runs)
+
+
+@register("avg_latency")
+def avg_latency(spark, sf_dir):
+    return _latency(spark, sf_dir).select("method", r6("avg_latency_ms"), "n_queries")
+
+
+@register("compare_methods")
+def compare_methods(spark, sf_dir):
+    c = report.comparison(_summary(spark, sf_dir), _latency(spark, sf_dir), METHOD_NAMES)
+    return c.select("method", "name", "metric", F.col("k").cast("int").alias("k"), r6("value"),
+                    r6("avg_latency_ms"))
+
+
+@register("improvement")
+def improvement(spark, sf_dir):
+    imp = report.improvement(_summary(spark, sf_dir), "dense", "rrf")
+    return imp.select("metric", F.col("k").cast("int").alias("k"), r6("base"), r6("new"),
+                      r6("delta"), r6("pct"))
+
+
+@register("metric_pivot")
+def metric_pivot(spark, sf_dir):
+    p = report.metric_table(_summary(spark, sf_dir), K_VALUES)
+    return p.select("metric", "method", *[r6(f"at_{k}") for k in K_VALUES])
+
+
+@register("label_dense_metrics")
+def label_dense_metrics(spark, sf_dir):
+    v = _embedding_vectors(spark, sf_dir)
+    ranking = dense.topk(v, v.withColumnRenamed("doc_id", "qid"), k=TOP_K, exclude_self=True)
+    labels = fx.embedding_vectors(spark, sf_dir).select("doc_id", "label")
+    judged = (ranking.join(labels, "doc_id")
+                     .join(labels.withColumnRenamed("doc_id", "qid")
+                                 .withColumnRenamed("label", "qlabel"), "qid")
+                     .withColumn("gain", (F.col("label") == F.col("qlabel")).cast("int"))
+                     .withColumn("method", F.lit("dense")))
+    m = metrics.per_query(metrics.ordered_gains(judged), K_VALUES)
+    return summary_out(metrics.summarize(m))
+
+
+# ---------------------------------------------------------------- incremental / streaming
+@register("incremental_encode")
+def incremental_encode(spark, sf_dir):
+    docs = fx.documents_corpus(spark, sf_dir)
+    path = scratch_path(spark, "incremental_encode")
+    # state left by an interrupted earlier run: one third of the corpus encoded
+    first = encode.hash_encode(docs.where(F.col("doc_id") % 3 == 0), "doc_id", "contents")
+    first.write.mode("overwrite").parquet(path)
+    incremental.encode_missing(docs, path, id_col="doc_id", text_col="contents")
+    return long_vectors(spark.read.parquet(path).select("doc_id", "embedding"))
+
+
+@register("stream_encode")
+def stream_encode(spark, sf_dir):
+    docs = fx.documents_corpus(spark, sf_dir)
+    landing = scratch_path(spark, "stream_landing")
+    # four landed files, as a producer would drop them
+    (docs.withColumn("part", F.col("doc_id") % 4).repartition(4, "part")
+         .write.mode("overwrite").partitionBy("part").parquet(landing))
+    out = scratch_path(spark, "stream_vectors")
+    ckpt = scratch_path(spark, "stream_checkpoint")
+    incremental.run_encode_stream(spark, landing, docs.schema, out, ckpt,
+                                  id_col="doc_id", text_col="contents")
+    return long_vectors(spark.read.parquet(out).select("doc_id", "embedding"))
+
+
+@register("corpus_jsonl_roundtrip")
+def corpus_jsonl_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "corpus_jsonl")
+    writers.write_corpus(_unified(spark, sf_dir), path, fmt="json")
+    return readers.read_corpus(spark, path, fmt="json").select(*corpus_ops.CORPUS_COLUMNS)
