@@ -46,18 +46,42 @@ class Bm25Index:
     params: Bm25Params
     id_col: str = "doc_id"
 
-    def write(self, path: str, token_buckets: int = 256) -> None:
-        """Persist the index.  Postings are partitioned by a token hash bucket so
-        a scan for a set of query tokens can prune whole folders."""
-        (self.postings.withColumn("bucket", token_bucket("token", token_buckets))
-             .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
-        self.term_stats.write.mode("overwrite").parquet(f"{path}/term_stats")
-        self.corpus_stats.write.mode("overwrite").parquet(f"{path}/corpus_stats")
+    def write(self, path: str, buckets: int | None = None,
+              already_bucketed: bool = False) -> "Bm25Index":
+        """Persist the index and return it re-opened from storage.
+
+        ``postings`` is written bucketed by the document id (see
+        ``sources.tables``); when the index was built from a corpus bucketed
+        the same way, no shuffle is added.  Term and corpus statistics are then
+        computed from the stored postings, so tokenization runs only once.
+        """
+        from quarry.sources import tables
+        spark = self.postings.sparkSession
+        n = buckets or tables.choose_buckets(self.postings)
+        postings = tables.write_bucketed(self.postings, f"{path}/postings", self.id_col, n,
+                                         already_bucketed=already_bucketed)
+        dfreq_path = f"{path}/doc_freq"
+        postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")) \
+                .write.mode("overwrite").parquet(dfreq_path)
+        dfreq = spark.read.parquet(dfreq_path)
+        n_docs = self.corpus_stats.select("n_docs").scalar()
+        term_stats, avg_idf = idf_table(dfreq, n_docs, self.params)
+        term_stats.write.mode("overwrite").parquet(f"{path}/term_stats")
+        term_stats = spark.read.parquet(f"{path}/term_stats")
+        n_tokens = postings.agg(F.coalesce(F.sum("tf"), F.lit(0))).scalar()
+        stats = (self.corpus_stats.select("n_docs")
+                 .select("n_docs", n_tokens.alias("n_tokens"),
+                         F.when(F.col("n_docs") > 0, n_tokens / F.col("n_docs")).alias("avgdl"),
+                         dfreq.agg(F.count(F.lit(1))).scalar().alias("n_terms"),
+                         avg_idf.alias("avg_idf")))
+        stats.write.mode("overwrite").parquet(f"{path}/corpus_stats")
+        return Bm25Index.read(spark, path, self.params, self.id_col)
 
     @classmethod
     def read(cls, spark, path: str, params: Bm25Params | None = None,
              id_col: str = "doc_id") -> "Bm25Index":
-        return cls(postings=spark.read.parquet(f"{path}/postings"),
+        from quarry.sources import tables
+        return cls(postings=tables.register(spark, f"{path}/postings"),
                    term_stats=spark.read.parquet(f"{path}/term_stats"),
                    corpus_stats=spark.read.parquet(f"{path}/corpus_stats"),
                    params=params or Bm25Params(), id_col=id_col)
@@ -91,10 +115,22 @@ def build_index(corpus: DataFrame, id_col: str = "doc_id", text: Column | None =
     params = params or Bm25Params()
     dt = document_tokens(corpus, id_col, text)
     postings = term_frequencies(dt, id_col)
-    sizes = doc_lengths(dt, id_col).agg(F.count(F.lit(1)).alias("n_docs"),
-                                        F.coalesce(F.sum("doc_len"), F.lit(0)).alias("n_tokens"))
+    sizes = corpus.agg(F.count(F.lit(1)).alias("n_docs")).select(
+        "n_docs", doc_lengths(dt, id_col).agg(F.coalesce(F.sum("doc_len"), F.lit(0))).scalar()
+        .alias("n_tokens"))
     n_docs = sizes.select("n_docs").scalar()
     dfreq = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    term_stats, avg_idf = idf_table(dfreq, n_docs, params)
+    corpus_stats = sizes.select(
+        "n_docs", "n_tokens",
+        F.when(F.col("n_docs") > 0, F.col("n_tokens") / F.col("n_docs")).alias("avgdl"),
+        dfreq.agg(F.count(F.lit(1))).scalar().alias("n_terms"),
+        avg_idf.alias("avg_idf"))
+    return Bm25Index(postings, term_stats, corpus_stats, params, id_col)
+
+
+def idf_table(dfreq: DataFrame, n_docs: Column, params: Bm25Params):
+    """(token, df, idf) with the negative-idf floor, and the avg_idf scalar."""
     raw = dfreq.withColumn("idf_raw", F.log(n_docs - F.col("df") + F.lit(0.5))
                            - F.log(F.col("df") + F.lit(0.5)))
     avg_idf = raw.agg(F.avg("idf_raw")).scalar()
@@ -102,12 +138,7 @@ def build_index(corpus: DataFrame, id_col: str = "doc_id", text: Column | None =
         "token", "df",
         F.when(F.col("idf_raw") < 0, F.lit(params.epsilon) * avg_idf)
          .otherwise(F.col("idf_raw")).alias("idf"))
-    corpus_stats = sizes.select(
-        "n_docs", "n_tokens",
-        F.when(F.col("n_docs") > 0, F.col("n_tokens") / F.col("n_docs")).alias("avgdl"),
-        raw.agg(F.count(F.lit(1))).scalar().alias("n_terms"),
-        avg_idf.alias("avg_idf"))
-    return Bm25Index(postings, term_stats, corpus_stats, params, id_col)
+    return term_stats, avg_idf
 
 
 def query_terms(queries: DataFrame, qid_col: str = "qid", text_col: str = "question") -> DataFrame:

@@ -17,6 +17,7 @@ from quarry.operators import bm25, encode
 from quarry.operators import retrieve as retrieve_ops
 from quarry.session import scratch_path
 from quarry.sources import fixtures as fx
+from quarry.sources import tables
 
 _LOCK = threading.Lock()
 _SPACES: dict = {}
@@ -43,9 +44,24 @@ class Workspace:
             self._memo[key] = build()
         return self._memo[key]
 
+    def forget_rankings(self) -> None:
+        """Drop memoized rankings / results (keeps the index and vectors)."""
+        for key in [k for k in self._memo if isinstance(k, tuple) and k[0] in ("ranking", "results")]:
+            del self._memo[key]
+
     # ------------------------------------------------------------------ inputs
     def corpus(self) -> DataFrame:
-        return fx.documents_corpus(self.spark, self.sf_dir)
+        """The corpus staged once as a table bucketed by ``doc_id``."""
+        def build():
+            src = fx.documents_corpus(self.spark, self.sf_dir)
+            n = tables.choose_buckets(src)
+            self._memo["buckets"] = n
+            return tables.write_bucketed(src, scratch_path(self.spark, "corpus"), "doc_id", n)
+        return self._get("corpus", build)
+
+    def buckets(self) -> int:
+        self.corpus()
+        return self._memo["buckets"]
 
     def queries(self) -> DataFrame:
         return fx.benchmark_queries(self.spark, self.sf_dir)
@@ -54,16 +70,15 @@ class Workspace:
     def index(self) -> bm25.Bm25Index:
         def build():
             path = scratch_path(self.spark, "bm25_index")
-            bm25.build_index(self.corpus()).write(path)
-            return bm25.Bm25Index.read(self.spark, path)
+            return bm25.build_index(self.corpus()).write(path, self.buckets(),
+                                                         already_bucketed=True)
         return self._get("index", build)
 
     def doc_vectors(self, dim: int = 128) -> DataFrame:
         def build():
-            path = scratch_path(self.spark, f"doc_vectors_{dim}")
-            encode.hash_encode(self.corpus(), "doc_id", "contents", dim) \
-                  .write.mode("overwrite").parquet(path)
-            return self.spark.read.parquet(path)
+            vecs = encode.hash_encode(self.corpus(), "doc_id", "contents", dim)
+            return tables.write_bucketed(vecs, scratch_path(self.spark, f"doc_vectors_{dim}"),
+                                         "doc_id", self.buckets(), already_bucketed=True)
         return self._get(("doc_vectors", dim), build)
 
     def query_vectors(self, dim: int = 128) -> DataFrame:
