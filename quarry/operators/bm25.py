@@ -91,8 +91,16 @@ def token_bucket(token: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(token)), F.lit(buckets)).cast("int")
 
 
+def default_text(corpus: DataFrame) -> Column:
+    """``contents``, falling back to ``content`` when the corpus has both columns."""
+    cols = set(corpus.columns)
+    if {"contents", "content"} <= cols:
+        return lexical_text()
+    return F.coalesce(F.col("contents" if "contents" in cols else "content"), F.lit(""))
+
+
 def document_tokens(corpus: DataFrame, id_col: str = "doc_id", text: Column | None = None) -> DataFrame:
-    text = lexical_text() if text is None else text
+    text = default_text(corpus) if text is None else text
     return corpus.select(F.col(id_col), tokens(text).alias("tokens"))
 
 

@@ -87,7 +87,7 @@ def read_run(spark: SparkSession, path: str, layout: str = "lines", method: str
     if layout == "lines":
         return spark.read.schema(RUN_LINE_SCHEMA).json(path)
     if layout == "object":
-        text = spark.read.option("wholetext", True).text(path)
+        text = spark.read.text(path, wholetext=True)
         parsed = text.select(F.explode(F.from_json("value", T.MapType(T.StringType(), RUN_ENTRY)))
                              .alias("qid", "e"))
         return parsed.select(
@@ -99,7 +99,7 @@ def read_run(spark: SparkSession, path: str, layout: str = "lines", method: str
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """``(qid, id, relevance_score, pos)``; entries without an id are dropped."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     per_q = text.select(F.explode(F.from_json("value", T.MapType(T.StringType(), GOLD_ENTRY)))
                         .alias("qid", "e"))
     items = per_q.select("qid", F.posexplode("e.manually_selected_top_5").alias("pos", "g"))
