@@ -156,24 +156,51 @@ def query_terms(queries: DataFrame, qid_col: str = "qid", text_col: str = "quest
                    .agg(F.count(F.lit(1)).alias("qtf")))
 
 
-def scores(index: Bm25Index, queries: DataFrame, qid_col: str = "qid",
-           text_col: str = "question") -> DataFrame:
-    """(qid, doc_id, score) for every document sharing a token with the query."""
+def _block_scores(index: Bm25Index, qt: DataFrame, qid_col: str) -> DataFrame:
     p = index.params
-    qt = query_terms(queries, qid_col, text_col)
-    small = sizing.fits(qt)
-    side = F.broadcast(qt) if small else qt
-    weighted = side.join(index.term_stats.select("token", "idf"), "token")  # unknown tokens add 0
-    weighted = F.broadcast(weighted) if small else weighted
+    weighted = F.broadcast(F.broadcast(qt).join(index.term_stats.select("token", "idf"), "token"))
     avgdl = index.corpus_stats.select("avgdl").scalar()
     tf, dl = F.col("tf"), F.col("doc_len")
     term = (F.col("qtf") * F.col("idf") * tf * F.lit(p.k1 + 1)
             / (tf + F.lit(p.k1) * (F.lit(1 - p.b) + F.lit(p.b) * dl / avgdl)))
-    return (index.postings.join(weighted, "token")
+    return (index.postings.join(weighted, "token")   # unknown tokens add 0
                  .groupBy(qid_col, index.id_col)
                  .agg(F.sum(term).alias("score")))
 
 
+def query_blocks(qt: DataFrame, qid_col: str, max_bytes: int = sizing.DEFAULT_MAX_BYTES,
+                 max_rows: int = sizing.DEFAULT_MAX_ROWS) -> list[DataFrame]:
+    """Split the query-term table into hash blocks of queries that each fit the
+    broadcast bound (one block in the common case)."""
+    size = sizing.measure(qt, max_rows=10 * max_rows)
+    n_blocks = max(1, -(-size.bytes // max_bytes), -(-size.rows // max_rows))
+    if size.exceeded:  # more rows than even the probe read: split harder
+        n_blocks *= 16
+    if n_blocks == 1:
+        return [qt]
+    block = F.pmod(F.xxhash64(F.col(qid_col)), F.lit(n_blocks))
+    return [qt.where(block == b) for b in range(n_blocks)]
+
+
+def scores(index: Bm25Index, queries: DataFrame, qid_col: str = "qid",
+           text_col: str = "question",
+           max_broadcast_bytes: int = sizing.DEFAULT_MAX_BYTES) -> DataFrame:
+    """(qid, doc_id, score) for every document sharing a token with the query.
+
+    The query-term side is broadcast after a size check; a query set larger
+    than the bound is split into blocks of whole queries, each broadcast, so the
+    postings are never shuffled.  With postings bucketed by document the sum per
+    (qid, doc) runs inside the scan task.
+    """
+    qt = query_terms(queries, qid_col, text_col)
+    parts = [_block_scores(index, b, qid_col)
+             for b in query_blocks(qt, qid_col, max_bytes=max_broadcast_bytes)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def top_k_lexical(index: Bm25Index, queries: DataFrame, k: int = 100, qid_col: str = "qid",
                   text_col: str = "question", pad_unmatched: bool = False,
                   corpus_ids: DataFrame | None = None,

@@ -30,6 +30,7 @@ from quarry.functions.vectors import l2_norm, l2_normalize
 from quarry.operators.topk import SCORE_PRECISION, top_k_by_score
 
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+MATRIX_BYTES = 64 * 1024 * 1024
 
 
 def normalize(df: DataFrame, vec_col: str = "embedding") -> DataFrame:
@@ -76,13 +77,20 @@ def local_topk_fn(bc, k: int, id_col: str, vec_col: str, qid_col: str,
             order = np.argsort(ids, kind="stable")
             ids = ids[order]
             D = np.vstack(pdf[vec_col].to_numpy()[order]).astype(np.float64, copy=False)
-            S = D @ Q.T
-            if precision is not None:
-                S = np.round(S, precision)
-            if exclude_self:
-                S[ids[:, None] == q_match[None, :]] = -np.inf
-            c, s, i = _batch_top(S, ids, k)
-            acc_c.append(c), acc_s.append(s), acc_i.append(i)
+            # score matrix bounded to ~MATRIX_BYTES: walk the queries in column chunks
+            step = max(1, MATRIX_BYTES // (8 * len(ids)))
+            for lo in range(0, len(qids), step):
+                S = D @ Q[lo:lo + step].T
+                if precision is not None:
+                    S = np.round(S, precision)
+                if exclude_self:
+                    S[ids[:, None] == q_match[None, lo:lo + step]] = -np.inf
+                c, s, i = _batch_top(S, ids, k)
+                acc_c.append(c + lo), acc_s.append(s), acc_i.append(i)
+            if sum(len(c) for c in acc_c) > 4 * k * len(qids):  # keep the running buffer small
+                c, s, i = _select_top(np.concatenate(acc_c), np.concatenate(acc_s),
+                                      np.concatenate(acc_i), k)
+                acc_c, acc_s, acc_i = [c], [s], [i]
         if not acc_c:
             return
         c, s, i = _select_top(np.concatenate(acc_c), np.concatenate(acc_s),

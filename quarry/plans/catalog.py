@@ -321,7 +321,7 @@ def query_request_join(spark, sf_dir):
 # ---------------------------------------------------------------- relevance / metrics
 @register("known_item_gold")
 def known_item_gold(spark, sf_dir):
-    return relevance.known_item_gold(fx.documents_corpus(spark, sf_dir),
+    return relevance.known_item_gold(Workspace.of(spark, sf_dir).corpus(),
                                      fx.benchmark_queries(spark, sf_dir))
 
 
@@ -376,7 +376,7 @@ for _m in ("hit", "mrr", "recall", "dcg", "idcg", "ndcg"):
 
 @register("recall_gold_at_k")
 def recall_gold_at_k(spark, sf_dir):
-    gold = relevance.known_item_gold(fx.documents_corpus(spark, sf_dir),
+    gold = relevance.known_item_gold(Workspace.of(spark, sf_dir).corpus(),
                                      fx.benchmark_queries(spark, sf_dir))
     judged = relevance.gold_gains(_results(spark, sf_dir, "rrf"), gold,
                                   id_col="doc_id", gold_id_col="doc_id")

@@ -20,7 +20,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-TARGET_BUCKET_BYTES = 256 * 1024 * 1024
+TARGET_BUCKET_BYTES = 512 * 1024 * 1024
 
 
 def plan_bytes(df: DataFrame) -> int:

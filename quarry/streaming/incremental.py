@@ -13,9 +13,11 @@ after the batch commits) does not duplicate vectors.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators import encode as encode_ops
+from quarry.plans import sizing
 
 
 def _existing_ids(spark: SparkSession, vectors_path: str, id_col: str) -> DataFrame | None:
@@ -32,7 +34,17 @@ def encode_missing(corpus: DataFrame, vectors_path: str, *, id_col: str = "doc_i
     the (lazy) frame of what was appended."""
     spark = corpus.sparkSession
     existing = _existing_ids(spark, vectors_path, id_col)
-    todo = corpus if existing is None else corpus.join(existing, id_col, "left_anti")
+    if existing is None:
+        todo = corpus
+    else:
+        ids = corpus.select(id_col)
+        if sizing.fits(ids):
+            # a micro-batch: probe the stored ids with its broadcast id set, so the
+            # vector table is scanned once and never shuffled
+            present = existing.join(F.broadcast(ids), id_col, "left_semi")
+            todo = corpus.join(F.broadcast(present), id_col, "left_anti")
+        else:
+            todo = corpus.join(existing, id_col, "left_anti")
     if encoder == "hash":
         new = encode_ops.hash_encode(todo, id_col, text_col, dim)
     else:

@@ -85,3 +85,14 @@ def test_stored_index_round_trip(spark, index, tmp_path):
     a = sorted((r.qid, r.doc_id, round(r.score, 9)) for r in bm25.scores(idx, q).collect())
     b = sorted((r.qid, r.doc_id, round(r.score, 9)) for r in bm25.scores(stored, q).collect())
     assert a == b
+
+
+def test_query_blocks_equal_single_broadcast(spark, index):
+    _, idx = index
+    q = spark.createDataFrame(QUERIES, "qid long, question string")
+    qt = bm25.query_terms(q)
+    assert len(bm25.query_blocks(qt, "qid", max_bytes=60)) > 1
+    one = sorted((r.qid, r.doc_id, round(r.score, 9)) for r in bm25.scores(idx, q).collect())
+    many = sorted((r.qid, r.doc_id, round(r.score, 9))
+                  for r in bm25.scores(idx, q, max_broadcast_bytes=60).collect())
+    assert one == many
