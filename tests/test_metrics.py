@@ -136,3 +136,22 @@ def test_report_frame_shape(spark):
     r = report.report_frame(s, lat, {"baseline": ("dense", "Dense"), "rrf2": ("rrf", "Fused")}, k_values=(5,)).first()
     assert r.baseline.summary["hit"]["5"] == 1.0 and r.baseline.avg_latency_ms is None
     assert r.rrf2.name == "Fused" and r.rrf2.avg_latency_ms == 12.5
+
+
+def test_reference_rule_table_counts_and_evaluate(spark):
+    from quarry.operators.evaluate import evaluate
+    from quarry.sources.keyword_rules import REFERENCE_KEYWORDS, reference_rules
+    assert sum(len(v["decisive"]) for v in REFERENCE_KEYWORDS.values()) == 72
+    assert sum(len(v["supportive"]) for v in REFERENCE_KEYWORDS.values()) == 56
+    res = spark.createDataFrame([
+        ("q2", "rrf", 1, "d1", "HER2 status", "amplified"),
+        ("q2", "rrf", 2, "d2", "Unrelated", "nothing here"),
+        ("q2", "rrf", 3, "d3", "Breast cancer", "receptor response"),
+    ], "qid string, method string, rank int, id string, title string, content string")
+    ev = evaluate(res, rules=reference_rules(spark), k_values=(5,))
+    gl = ev.gains_list.first()
+    assert gl.gains == [2, 0, 1]
+    s = {(r.metric, r.k): r.value for r in ev.summary.collect()}
+    assert s[("mrr", 5)] == 1.0 and s[("recall", 5)] == 1.0
+    with pytest.raises(ValueError):
+        evaluate(res, k_values=(5,))
