@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.operators import bm25, encode
 from quarry.operators import retrieve as retrieve_ops
-from quarry.session import scratch_path
+from quarry.session import ensure_checkpoint_dir, scratch_path
 from quarry.sources import fixtures as fx
 from quarry.sources import tables
 
@@ -27,6 +27,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str, reuse_rankings: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        ensure_checkpoint_dir(spark)
         self.reuse_rankings = reuse_rankings
         self._memo: dict = {}
 

@@ -33,7 +33,7 @@ def plan_bytes(df: DataFrame) -> int:
 
 def choose_buckets(df: DataFrame, minimum: int | None = None) -> int:
     spark = df.sparkSession
-    floor = minimum or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    floor = minimum or spark.sparkContext.defaultParallelism
     return max(floor, math.ceil(plan_bytes(df) / TARGET_BUCKET_BYTES))
 
 
