@@ -219,10 +219,12 @@ def top_k_lexical(index: Bm25Index, queries: DataFrame, k: int = 100, qid_col: s
     # The first k ids of the corpus always hold enough unmatched documents.
     first_ids = (corpus_ids.select(id_col).orderBy(id_col).limit(k)
                            .agg(F.sort_array(F.collect_list(id_col))).scalar())
+    matched = top_k_by_score(scored, k, qid_col, id_col, precision=precision).drop("rank")
+    # Padding is used only when fewer than k documents match, and then all of them
+    # are in ``matched``: the anti-join needs only that bounded (Q x k) table.
     pads = (queries.select(qid_col, F.explode(first_ids).alias(id_col))
-                   .join(scored.select(qid_col, id_col), [qid_col, id_col], "left_anti")
+                   .join(matched.select(qid_col, id_col), [qid_col, id_col], "left_anti")
                    .withColumn("score", F.lit(0.0)))
-    matched = top_k_by_score(scored, k, qid_col, id_col, precision=precision).drop("rank")
     n_matched = matched.groupBy(qid_col).agg(F.count(F.lit(1)).alias("_m"))
     pads = (top_k(pads, k, [qid_col], [F.col(id_col).asc()], "_pad_pos")
             .join(n_matched, qid_col, "left")

@@ -111,9 +111,18 @@ def known_item_gold(corpus: DataFrame, items: DataFrame, *, id_col: str = "doc_i
                      .join(sizing.broadcast_if_small(it.select(qid_col, item_text_col)), qid_col)
                      .where(F.contains(F.col(text_col), F.col(item_text_col))))
     no_tok = it.join(cand_tok, qid_col, "left_anti").select(qid_col, item_text_col)
-    direct = (texts.join(sizing.broadcast_if_small(no_tok),
-                         F.contains(F.col(text_col), F.col(item_text_col))))
-    both = with_tok.select(qid_col, id_col).unionByName(direct.select(qid_col, id_col))
+    both = with_tok.select(qid_col, id_col)
+    # Items without an interior token are tested directly, in size-checked blocks
+    # that are each broadcast: one corpus scan per block, never a cartesian shuffle.
+    size = sizing.measure(no_tok, max_rows=10 * sizing.DEFAULT_MAX_ROWS)
+    if size.rows:
+        n_blocks = max(1, -(-size.bytes // sizing.DEFAULT_MAX_BYTES),
+                       -(-size.rows // sizing.DEFAULT_MAX_ROWS)) * (16 if size.exceeded else 1)
+        for b in range(n_blocks):
+            block = no_tok if n_blocks == 1 else no_tok.where(
+                F.pmod(F.xxhash64(qid_col), F.lit(n_blocks)) == b)
+            direct = texts.join(F.broadcast(block), F.contains(F.col(text_col), F.col(item_text_col)))
+            both = both.unionByName(direct.select(qid_col, id_col))
     return both.select(qid_col, id_col, F.lit(score).cast("int").alias("relevance_score"))
 
 

@@ -23,9 +23,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Leave broadcast decisions to explicit, size-checked hints (plans.sizing)
-    # plus AQE's runtime conversion, never to file-size guesses of derived data.
-    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    # Broadcasts come from explicit, size-checked hints (plans.sizing) or from
+    # AQE's conversion on measured shuffle sizes - never from plan estimates.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
