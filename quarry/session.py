@@ -23,10 +23,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Broadcasts come from explicit, size-checked hints (plans.sizing) or from
-    # AQE's conversion on measured shuffle sizes - never from plan estimates.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Explicit broadcasts in the library are size-checked (plans.sizing); Spark's
+    # own threshold stays at its default for small static tables, and AQE
+    # re-decides on measured shuffle sizes.
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
 }
 
 
