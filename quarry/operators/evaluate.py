@@ -32,7 +32,9 @@ def evaluate(results: DataFrame, *, rules: DataFrame | None = None, gold: DataFr
     else:
         judged = relevance.gold_gains(results, gold, qid_col, id_col, gold_id_col)
     keys = [qid_col, "method"]
-    gains = metrics.ordered_gains(judged, keys)
+    # equal or missing ranks keep the list order of the run (a stable sort)
+    tiebreak = "_pos" if "_pos" in judged.columns else id_col
+    gains = metrics.ordered_gains(judged, keys, tiebreak_col=tiebreak)
     counts = None
     if gold_denominator and gold is not None:
         from pyspark.sql import functions as F
