@@ -76,7 +76,9 @@ def gold_gains(results: DataFrame, gold: DataFrame | None, qid_col: str = "qid",
 
 def known_item_gold(corpus: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
                     text_col: str = "contents", qid_col: str = "qid",
-                    item_text_col: str = "question", score: int = 2) -> DataFrame:
+                    item_text_col: str = "question", score: int = 2,
+                    postings: DataFrame | None = None,
+                    doc_freq: DataFrame | None = None) -> DataFrame:
     """(qid, doc_id, relevance_score) for every document containing an item's
     whole text.
 
@@ -86,12 +88,21 @@ def known_item_gold(corpus: DataFrame, items: DataFrame, *, id_col: str = "doc_i
     through its rarest interior token (equi-join on postings), then confirmed
     with ``contains``.  Items with no interior token fall back to a direct
     ``contains`` test against the corpus.
+
+    ``postings`` (token, id) and ``doc_freq`` (token, df) of a stored BM25 index
+    over the same text are reused when given (no second tokenization).
     """
     from quarry.functions.text import TOKEN_PATTERN, tokens
 
-    toks = tokens(F.col(text_col))
-    postings = corpus.select(F.col(id_col), F.explode(F.array_distinct(toks)).alias("token"))
-    dfreq = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    if postings is None:
+        toks = tokens(F.col(text_col))
+        postings = corpus.select(F.col(id_col), F.explode(F.array_distinct(toks)).alias("token"))
+    else:
+        postings = postings.select("token", id_col)
+    if doc_freq is None:
+        dfreq = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    else:
+        dfreq = doc_freq.select("token", "df")
     # interior tokens: drop the first and the last run of token characters
     all_t = F.regexp_extract_all(F.lower(F.col(item_text_col)), F.lit(TOKEN_PATTERN), 0)
     lead_tok = F.regexp_like(F.col(item_text_col), F.lit(r"^[\p{L}\p{N}_]"))

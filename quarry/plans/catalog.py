@@ -321,8 +321,14 @@ def query_request_join(spark, sf_dir):
 # ---------------------------------------------------------------- relevance / metrics
 @register("known_item_gold")
 def known_item_gold(spark, sf_dir):
-    return relevance.known_item_gold(Workspace.of(spark, sf_dir).corpus(),
-                                     fx.benchmark_queries(spark, sf_dir))
+    return _known_item(spark, sf_dir)
+
+
+def _known_item(spark, sf_dir):
+    ws = Workspace.of(spark, sf_dir)
+    idx = ws.index()
+    return relevance.known_item_gold(ws.corpus(), fx.benchmark_queries(spark, sf_dir),
+                                     postings=idx.postings, doc_freq=idx.term_stats)
 
 
 def _keyword_judged(spark, sf_dir, method):
@@ -376,8 +382,7 @@ for _m in ("hit", "mrr", "recall", "dcg", "idcg", "ndcg"):
 
 @register("recall_gold_at_k")
 def recall_gold_at_k(spark, sf_dir):
-    gold = relevance.known_item_gold(Workspace.of(spark, sf_dir).corpus(),
-                                     fx.benchmark_queries(spark, sf_dir))
+    gold = _known_item(spark, sf_dir)
     judged = relevance.gold_gains(_results(spark, sf_dir, "rrf"), gold,
                                   id_col="doc_id", gold_id_col="doc_id")
     counts = gold.where(F.col("relevance_score") >= 1).groupBy("qid").agg(

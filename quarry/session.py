@@ -40,6 +40,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
+    if "spark.sql.warehouse.dir" not in conf:
+        builder = builder.config("spark.sql.warehouse.dir",
+                                 tempfile.mkdtemp(prefix="quarry-warehouse-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -155,3 +155,19 @@ def test_reference_rule_table_counts_and_evaluate(spark):
     assert s[("mrr", 5)] == 1.0 and s[("recall", 5)] == 1.0
     with pytest.raises(ValueError):
         evaluate(res, k_values=(5,))
+
+
+def test_known_item_gold_exact(spark):
+    from quarry.operators.bm25 import build_index
+    docs = spark.createDataFrame([
+        (1, "alpha beta gamma delta"), (2, "xalpha beta gamma deltax"), (3, "beta gamma"),
+        (4, "Alpha beta gamma"), (5, "zzz ab"), (6, None)], "doc_id long, contents string")
+    items = spark.createDataFrame([(10, "alpha beta gamma"), (11, "a beta gam"), (12, "ab"),
+                                   (13, "beta")], "qid long, question string")
+    expect = {(q, d) for d, t in docs.collect() for q, text in items.collect() if t and text in t}
+    assert (11, 4) in expect and (12, 5) in expect  # partial tokens at both ends
+    plain = {(r.qid, r.doc_id) for r in relevance.known_item_gold(docs, items).collect()}
+    idx = build_index(docs)
+    reuse = {(r.qid, r.doc_id) for r in relevance.known_item_gold(
+        docs, items, postings=idx.postings, doc_freq=idx.term_stats).collect()}
+    assert plain == reuse == expect
