@@ -40,6 +40,8 @@ RULES = (
     ("longest_word", "longest_word_chars", None, 1000, 0),
 )
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+MEASURES = (*COUNTS, "n_lines", "n_stop_words", "longest_word_chars",
+            "mean_word_chars", "symbol_ratio", "stop_word_ratio", "dup_line_ratio")
 
 
 def _let(value: Column, body) -> Column:
@@ -69,51 +71,56 @@ def repeat_words(w: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(w) >= window, some).otherwise(0).cast("long")
 
 
-def measures(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
-    """Add every measure as a column ``prefix + name``."""
-    p = prefix
-    w, t = F.col(f"{p}words"), F.coalesce(F.col(text), F.lit(""))
-    ratio = lambda a, b: F.when(F.col(p + b) > 0, F.col(p + a) / F.col(p + b)).otherwise(0.0)
+def judgement(text: Column, rules=RULES) -> Column:
+    """A struct of all measures, ``base_failed`` and ``kept``, each computed once."""
+    t = F.coalesce(text, F.lit(""))
+
+    def counts(w: Column, lines: Column) -> Column:
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+            F.size(lines).cast("long").alias("n_lines"),
+            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+            repeat_words(w).alias("n_repeat_words"),
+            F.size(F.filter(w, lambda x: F.lower(x).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
+            F.coalesce(F.array_max(F.transform(w, F.char_length)), F.lit(0)).cast("long").alias("longest_word_chars"))
+
+    def ratios(c: Column) -> Column:
+        ratio = lambda a, b: F.when(c[b] > 0, c[a] / c[b]).otherwise(0.0)
+        return F.struct(*[c[n].alias(n) for n in (*COUNTS, "n_lines", "n_stop_words", "longest_word_chars")],
+                        ratio("word_chars", "n_words").alias("mean_word_chars"),
+                        ratio("n_symbols", "word_chars").alias("symbol_ratio"),
+                        ratio("n_stop_words", "n_words").alias("stop_word_ratio"),
+                        ratio("n_dup_lines", "n_lines").alias("dup_line_ratio"))
+
+    def judged(m: Column) -> Column:
+        failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+        return F.struct(*[m[n].alias(n) for n in MEASURES], failed.alias("base_failed"), (~failed & verdict(m, rules)).alias("kept"))
+
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    counts = df.withColumn(f"{p}words", words(F.col(text))).withColumn(f"{p}lines", lines).withColumns({
-        f"{p}n_words": F.size(w).cast("long"),
-        f"{p}word_chars": F.char_length(F.array_join(w, "")).cast("long"),
-        f"{p}n_symbols": F.regexp_count(t, F.lit(SYMBOLS)).cast("long"),
-        f"{p}n_lines": F.size(f"{p}lines").cast("long"),
-        f"{p}n_dup_lines": (F.size(f"{p}lines") - F.size(F.array_distinct(f"{p}lines"))).cast("long"),
-        f"{p}n_repeat_words": repeat_words(w),
-        f"{p}n_stop_words": F.size(F.filter(w, lambda x: F.lower(x).isin(*STOP_WORDS))).cast("long"),
-        f"{p}longest_word_chars": F.coalesce(F.array_max(F.transform(w, F.char_length)), F.lit(0)).cast("long"),
-    })
-    return counts.drop(f"{p}words", f"{p}lines").withColumns({
-        f"{p}mean_word_chars": ratio("word_chars", "n_words"),
-        f"{p}symbol_ratio": ratio("n_symbols", "word_chars"),
-        f"{p}stop_word_ratio": ratio("n_stop_words", "n_words"),
-        f"{p}dup_line_ratio": ratio("n_dup_lines", "n_lines"),
-    })
-
-
-def verdict(rules=RULES, prefix: str = "") -> Column:
-    """The conjunction of all thresholds."""
+    both = _let(words(text), lambda w: _let(lines, lambda ls: counts(w, ls)))
+    return _let(_let(both, ratios), judged)
+
+
+def verdict(m: Column, rules=RULES) -> Column:
+    """The conjunction of all thresholds on a struct of measures."""
     out = F.lit(True)
     for _, measure, least, most, from_words in rules:
-        value, holds = F.col(prefix + measure), F.lit(True)
+        holds = F.lit(True)
         if least is not None:
-            holds = holds & (value >= least)
+            holds = holds & (m[measure] >= least)
         if most is not None:
-            holds = holds & (value <= most)
-        out = out & ((F.col(f"{prefix}n_words") < from_words) | holds if from_words else holds)
+            holds = holds & (m[measure] <= most)
+        out = out & ((m["n_words"] < from_words) | holds if from_words else holds)
     return out
 
 
 def judge(df: DataFrame, text: str = "text", rules=RULES, prefix: str = "") -> DataFrame:
     """All rows with measures, ``base_failed`` and ``kept`` (names after ``prefix``)."""
-    clash = {c[len(prefix):] for c in df.columns if c.startswith(prefix)} & {
-        *COUNTS, "words", "lines", "n_lines", "n_stop_words", "longest_word_chars", "mean_word_chars",
-        "symbol_ratio", "stop_word_ratio", "dup_line_ratio", "base_failed", "kept"}
-    if clash:
-        raise ValueError(f"columns clash with measures, give a prefix: {sorted(clash)}")
-    n, repeats = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
-    failed = (n < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * n)
-    return measures(df, text, prefix).withColumn(f"{prefix}base_failed", failed).withColumn(
-        f"{prefix}kept", ~F.col(f"{prefix}base_failed") & verdict(rules, prefix))
+    names = [prefix + n for n in (*MEASURES, "base_failed", "kept", "judgement")]
+    if clash := sorted({*names} & {*df.columns}):
+        raise ValueError(f"columns clash with measures, give a prefix: {clash}")
+    whole = F.col(names[-1])
+    return df.withColumn(names[-1], judgement(F.col(text), rules)).select(
+        *[F.col(f"`{c}`") for c in df.columns], *[whole[n[len(prefix):]].alias(n) for n in names[:-1]])
