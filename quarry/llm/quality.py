@@ -55,7 +55,9 @@ def repeat_words(w: Column, window: int = WINDOW) -> Column:
     Windows are sorted by hash, neighbours with one hash give the repeated
     starts; each start covers ``window`` words or those up to the next start.
     """
-    hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (window - 1)), lambda i: F.xxhash64(F.slice(w, i, window)))
+    one = F.transform(w, lambda x: F.xxhash64(x))
+    hashes = _let(one, lambda o: F.slice(F.transform(o, lambda x, i: F.xxhash64(
+        x, *[F.get(o, i + k) for k in range(1, window)])), F.lit(1), F.greatest(F.size(o) - (window - 1), F.lit(0))))
 
     def starts(h: Column) -> Column:
         by_hash = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
