@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import mixing, packing, quality, simhash, substring
+from quarry.llm import ann, chat, lm, mixing, packing, quality, simhash, substring, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +21,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The rules of the URL query.
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/"))
+
+
+@register
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, URL_RULES).select(
+        "page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"), F.col("url_rule").alias("rule"),
+        F.col("url_verdict").alias("verdict"), F.col("url_score").alias("score"))
+
+
 @register
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -42,6 +55,31 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+@register
+def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    read = chat.read_back(chat.windows(turns))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    parts = read.select("conv_id", F.struct("window", lines.alias("lines"), F.array_join("learned", "").alias("learned")).alias("w"),
+                        F.size("turns").alias("n"), "chars")
+    whole = parts.groupBy("conv_id").agg(F.sum("n").alias("n_turns"), F.sort_array(F.collect_list("w")).alias("ws"),
+                                         F.sum("chars").cast("long").alias("formatted_chars"))
+    joined = lambda name: F.array_join(F.transform("ws", lambda w: w[name]), "")
+    whole = whole.withColumns({"lines": joined("lines"), "learned": joined("learned")})
+    return whole.select("conv_id", F.col("n_turns").cast("long").alias("n_turns"), F.sha2("lines", 256).alias("turns_sha256"),
+                        F.char_length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+                        "formatted_chars")
+
+
+@register
+def op7_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score(docs, F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 != 0)
+
+
 @register
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,3 +93,9 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(docs).select(
         "doc_id", F.col("sub_words").alias("n_words"), F.col("sub_removed").alias("n_removed"),
         F.sha2("sub_kept", 256).alias("kept_sha256"))
+
+
+@register
+def op10_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, F.col("vec_id") % 20 == 0)

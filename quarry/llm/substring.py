@@ -75,10 +75,10 @@ class _Powers:
         self.n = n
 
 
-_POWERS = _Powers()
+POWERS = _Powers()
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(31))
     x = x * np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(29))
@@ -92,13 +92,13 @@ def window_hashes(text: str | None, span: int, gram: int, second: bool) -> Itera
         joined = np.frombuffer(b" ".join(part), np.uint8)
         ends = np.cumsum([len(w) + 1 for w in part]) - 1
         starts = np.concatenate(([0], ends[:-1] + 1))
-        _POWERS.upto(len(joined) + 1)
+        POWERS.upto(len(joined) + 1)
         sums = np.zeros(len(joined) + 1, np.uint64)
-        np.cumsum(_POWERS.value[joined] * _POWERS.up[:len(joined)], out=sums[1:])
+        np.cumsum(POWERS.value[joined] * POWERS.up[:len(joined)], out=sums[1:])
 
         def runs(n: int) -> np.ndarray:
             s, e = starts[:len(part) - n + 1], ends[n - 1:]
-            return _mix((sums[e] - sums[s]) * _POWERS.down[s])
+            return mix64((sums[e] - sums[s]) * POWERS.down[s])
 
         low, width, have = runs(gram), span - gram + 1, 1
         while have * 2 <= width:
@@ -109,9 +109,9 @@ def window_hashes(text: str | None, span: int, gram: int, second: bool) -> Itera
         if second:
             p = np.uint64(_P)
             sums2 = np.zeros(len(joined) + 1, np.uint64)
-            np.cumsum(_POWERS.value2[joined] * _POWERS.up2[:len(joined)] % p, out=sums2[1:])
+            np.cumsum(POWERS.value2[joined] * POWERS.up2[:len(joined)] % p, out=sums2[1:])
             s, e = starts[:len(part) - span + 1], ends[span - 1:]
-            two = (sums2[e] - sums2[s]) % p * _POWERS.down2[s] % p
+            two = (sums2[e] - sums2[s]) % p * POWERS.down2[s] % p
         yield first, runs(span), two, low
 
 
