@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import cut
 from quarry.llm.substring import POWERS, mix64
 
-ORDER = 4
+ORDER = 5
 BLOCK_BYTES = 16 << 20
 END = 256
 _BITS = np.uint64(9)
@@ -202,6 +202,16 @@ def _shorter(grams: np.ndarray) -> np.ndarray:
     return ((grams >> _BITS >> _BITS) << _BITS) | (grams & np.uint64(511))
 
 
+def planes(x: np.ndarray) -> bytes:
+    """Numbers as byte planes, which the shuffle's codec packs well where high bytes are alike."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def from_planes(raw: pa.Buffer, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
 def _bytes(column: pa.ChunkedArray) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass").lower() for t in column.to_pylist()]
 
@@ -247,18 +257,18 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
             shard = shard_of(keys, kind, order, shards)
             for s in np.unique(shard).tolist():
                 on = shard == s
-                rows.append((t["block"][0].as_py(), kind * shards + s, keys[on].tobytes(), counts[on].astype(np.uint32).tobytes()))
+                rows.append((t["block"][0].as_py(), kind * shards + s, planes(np.diff(keys[on], prepend=np.uint64(0))), planes(counts[on].astype(np.uint32))))
         cols = list(zip(*rows)) or [[], [], [], []]
         return pa.table({"block": pa.array(cols[0], pa.int64()), "shard": pa.array(cols[1], pa.int64()),
                          "keys": pa.array(cols[2], pa.binary()), "counts": pa.array(cols[3], pa.binary())})
 
     def solve(t: pa.Table) -> pa.Table:
         kind = t["shard"][0].as_py() // shards
-        keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in t["keys"]]
-        counts = [np.frombuffer(x.as_buffer(), np.uint32) for x in t["counts"]]
+        keys = [np.cumsum(from_planes(x.as_buffer(), np.uint64), dtype=np.uint64) for x in t["keys"]]
+        counts = [from_planes(x.as_buffer(), np.uint32) for x in t["counts"]]
         every, n = _summed(keys, counts)
         value = code(every, n, low, order).astype(np.float32) if kind == 0 else n
-        back = [value[np.searchsorted(every, k)].tobytes() for k in keys]
+        back = [planes(value[np.searchsorted(every, k)]) for k in keys]
         words = kind == 1
         return pa.table({"block": t["block"], "shard": t["shard"], "values": pa.array(back, pa.binary()),
                          "kinds": pa.array([int((n > 0).sum()) if words and i == 0 else 0 for i in range(len(keys))], pa.int64()),
@@ -275,7 +285,7 @@ def score(df: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
         def table(keys: np.ndarray, kind: int, dtype) -> np.ndarray:
             out, shard = np.empty(len(keys), dtype), shard_of(keys, kind, order, shards)
             for s in np.unique(shard).tolist():
-                out[shard == s] = np.frombuffer(got[kind * shards + s].as_buffer(), dtype)
+                out[shard == s] = from_planes(got[kind * shards + s].as_buffer(), dtype)
             return out
 
         total, base = np.zeros(len(texts)), np.zeros(len(texts))
