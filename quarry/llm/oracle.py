@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quarry.llm.licenses import CONTAINMENT, TEMPLATES
 from quarry.llm.quality import RULES, STOP_WORDS
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -17,7 +18,24 @@ def _verdict() -> str:
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
+_TOKENS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}]+')"
+_NOTICES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
+
 SQL: dict[str, str] = {
+    "op1_license_scan": rf"""
+WITH t AS (SELECT license, {_TOKENS.format('notice')} AS w FROM (VALUES {_NOTICES}) AS v(license, notice)),
+ts AS (SELECT DISTINCT license, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+       FROM (SELECT license, w, unnest(generate_series(1, len(w) - 4)) AS i FROM t)),
+tm AS (SELECT license, count(*) AS m, pow(2, ceil(log2(count(*))))::BIGINT AS step FROM ts GROUP BY license),
+d AS (SELECT doc_id, row_number() OVER () AS r, {_TOKENS.format('text')} AS w FROM documents),
+ds AS (SELECT doc_id, r, i - 1 AS p, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+       FROM (SELECT doc_id, r, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d WHERE len(w) >= 5)),
+hits AS (SELECT doc_id, r, p, license, g, m, step FROM ds JOIN ts USING (g) JOIN tm USING (license)),
+wins AS (SELECT doc_id, r, license, m, step, g, unnest([p // step, p // step - 1]) * step AS start FROM hits),
+found AS (SELECT doc_id, r, license, step, start, count(DISTINCT g)::DOUBLE / any_value(m) AS c
+          FROM wins WHERE start >= 0 GROUP BY doc_id, r, license, step, start)
+SELECT doc_id, license, max(c) AS containment, count(DISTINCT start) AS n_windows, arg_max(start, (c, -start)) AS first_word
+FROM found WHERE c >= {CONTAINMENT} GROUP BY doc_id, license""",
     "op4_quality_rules": rf"""
 WITH w AS (
   SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, {_WORDS} AS w,
