@@ -9,17 +9,22 @@ starts in a document with a smaller id.
    windows have equal anchors, so only windows whose anchor occurs in two
    different texts can repeat; the rest of the corpus never leaves its task
    (about one anchor per 20 words does).
-3. Those windows are the edges of the graph, each with the edge before and
-   after it in its text.  Grouping by window gives the first source (document,
-   place) and whether all occurrences share one predecessor and one successor.
-4. A join brings that back to the places.  Places in a row, where no path
-   branches and whose source places advance with them, compact into one span
-   of the document and one of its source.
-5. The union of a document's spans is cut from its words.
-
-A window is known by two independent rolling hashes of its bytes (64 bits, and
-modulo 2^31 - 1).  A span is only taken where each of its windows has both
-hashes equal to the window at its source coordinates.
+3. Windows in a row with one anchor are a path that is compacted where it is
+   found: one edge of the graph, with its own hash, the edges before and after
+   it in its text, and the hashes of its windows.  Grouping equal edges gives
+   the first source (document, place) and whether all occurrences share one
+   predecessor and one successor.
+4. A join brings that back to the places.  Edges in a row, where no path
+   branches and whose source places advance with them, compact into one span of
+   the document and one of its source.
+5. Edges with one anchor but different words overlap in part.  For these, of
+   each edge's first document only, the windows themselves are grouped, joined
+   and compacted in the same way; other occurrences went whole in step 4.
+6. The union of a document's spans is cut from its words.
+
+Edges and windows are known by two independent rolling hashes of their bytes (64
+bits, and modulo 2^31 - 1).  A span is only taken where both hashes of each part
+equal those at its source coordinates.
 
 Ids: null counts as larger than any id; equal ids never cut each other.  Null
 and empty texts have no words.  Empty tables give empty results.  Extra columns
@@ -85,7 +90,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def window_hashes(text: str | None, span: int, gram: int, second: bool) -> Iterator[tuple]:
-    """For chunks of a text's windows: (first place, hash, second hash or None, anchor)."""
+    """For chunks of a text's windows: (first place, anchors, function that hashes runs of windows)."""
     got = (text or "").encode("utf-8", "surrogatepass").split()
     for first in range(0, len(got) - span + 1, _CHUNK):
         part = got[first:first + _CHUNK + span - 1]
@@ -105,14 +110,19 @@ def window_hashes(text: str | None, span: int, gram: int, second: bool) -> Itera
             low, have = np.minimum(low[:-have], low[have:]), have * 2
         if have < width:
             low = np.minimum(low[:len(low) - (width - have)], low[width - have:])
-        two = None
-        if second:
-            p = np.uint64(_P)
-            sums2 = np.zeros(len(joined) + 1, np.uint64)
-            np.cumsum(POWERS.value2[joined] * POWERS.up2[:len(joined)] % p, out=sums2[1:])
-            s, e = starts[:len(part) - span + 1], ends[span - 1:]
-            two = (sums2[e] - sums2[s]) % p * POWERS.down2[s] % p
-        yield first, runs(span), two, low
+        if not second:
+            yield first, low, None
+            continue
+        p = np.uint64(_P)
+        sums2 = np.zeros(len(joined) + 1, np.uint64)
+        np.cumsum(POWERS.value2[joined] * POWERS.up2[:len(joined)] % p, out=sums2[1:])
+
+        def both(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Both hashes of the words from window a's first to window b's last."""
+            s, e = starts[a], ends[b + span - 1]
+            return mix64((sums[e] - sums[s]) * POWERS.down[s]).view(np.int64), ((sums2[e] - sums2[s]) % p * POWERS.down2[s] % p).astype(np.int64)
+
+        yield first, low, both
 
 
 def _anchors(span: int, gram: int):
@@ -122,7 +132,7 @@ def _anchors(span: int, gram: int):
                 part = b.slice(i, 512)
                 found, keys = [], []
                 for text, key in zip(part.column(0), part.column(1).to_pylist()):
-                    for _, _, _, low in window_hashes(text.as_py(), span, gram, False):
+                    for _, low, _ in window_hashes(text.as_py(), span, gram, False):
                         a = np.unique(low[np.concatenate(([True], low[1:] != low[:-1]))])
                         found.append(a)
                         keys.append(np.full(len(a), key, np.int64))
@@ -133,50 +143,78 @@ def _anchors(span: int, gram: int):
     return run
 
 
+_EDGE = "doc long, key long, pos long, n long, anchor long, h long, h2 long, before long, after long, windows binary"
+
+
 def _edges(span: int, gram: int):
-    """Windows with a repeated anchor: document, place, hashes, and the hashes of the windows around."""
-    names = ["doc", "key", "pos", "h", "h2", "before", "after"]
-
-    def of(doc: tuple[int, int], text: str, anchors: np.ndarray) -> Iterator[pa.RecordBatch]:
-        # Chunks meet: a chunk's first window follows the last one's last window.
-        last = None
-        pending = None
-        for first, h, h2, low in window_hashes(text, span, gram, True):
-            h, on = h.view(np.int64), np.isin(low, anchors)
-            if pending is not None:
-                yield batch(doc, *pending, last, h[0] if on[0] else None)
-                last = pending[1][-1] if pending[3][-1] else None
-            pending = (first, h, h2, on)
-        if pending is not None:
-            yield batch(doc, *pending, last, None)
-
-    def batch(doc, first, h, h2, on, head, tail) -> pa.RecordBatch:
-        n = len(h)
-        before, has_before = np.concatenate(([head or 0], h[:-1])), np.concatenate(([head is not None], on[:-1]))
-        after, has_after = np.concatenate((h[1:], [tail or 0])), np.concatenate((on[1:], [tail is not None]))
-        at = np.flatnonzero(on)
+    """Runs of windows with one repeated anchor: place, hashes, the runs around, and the windows' hashes."""
+    names = [x.split()[0] for x in _EDGE.split(", ")]
+
+    def of(doc: int, key: int, text: str, anchors: np.ndarray) -> pa.RecordBatch | None:
+        pos, n, anchor, h, h2, packed = [], [], [], [], [], []
+        for first, low, both in window_hashes(text, span, gram, True):
+            starts = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+            last = np.concatenate((starts[1:], [len(low)])) - 1
+            on = np.isin(low[starts], anchors)
+            starts, last = starts[on], last[on]
+            if not len(starts):
+                continue
+            one, two = both(starts, last)
+            size = last - starts + 1
+            each = np.arange(size.sum()) + np.repeat(starts - np.concatenate(([0], np.cumsum(size)[:-1])), size)
+            w = np.rec.fromarrays(both(each, each), names="h,h2")
+            cuts = np.concatenate(([0], np.cumsum(size)))
+            packed += [w[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+            for out, x in ((pos, first + starts), (n, size), (anchor, low[starts].view(np.int64)), (h, one), (h2, two)):
+                out.append(x)
+        if not pos:
+            return None
+        pos, n, anchor, h, h2 = (np.concatenate(x) for x in (pos, n, anchor, h, h2))
+        meets = np.concatenate(([False], pos[1:] == pos[:-1] + n[:-1], [False]))
+        before, after = np.concatenate(([0], h[:-1])), np.concatenate((h[1:], [0]))
+        same = lambda x: pa.array(np.full(len(pos), x, np.int64))
         return pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(at), doc[0], np.int64)), pa.array(np.full(len(at), doc[1], np.int64)), pa.array((first + np.arange(n))[at]), pa.array(h[at]),
-            pa.array(h2[at].astype(np.int64)), pa.array(before[at].astype(np.int64), mask=~has_before[at]),
-            pa.array(after[at].astype(np.int64), mask=~has_after[at])], names)
+            same(doc), same(key), pa.array(pos), pa.array(n), pa.array(anchor), pa.array(h), pa.array(h2),
+            pa.array(before, mask=~meets[:-1]), pa.array(after, mask=~meets[1:]), pa.array(packed, pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held, rows = [], 0
             for doc, key, text, anchors in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
                 known = anchors.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                for x in of((doc, key), text.as_py(), known):
+                x = of(doc, key, text.as_py(), known)
+                if x is not None:
                     held.append(x)
                     rows += x.num_rows
-                    if rows > 100_000:
-                        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                        held, rows = [], 0
+                if rows > 20_000:
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    held, rows = [], 0
             if held:
                 yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
     return run
 
 
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of edges, as edges of one window."""
+    for b in batches:
+        for i in range(0, b.num_rows, 4096):
+            part = b.slice(i, 4096)
+            w = np.frombuffer(b"".join(part.column("windows").to_pylist()), [("h", np.int64), ("h2", np.int64)])
+            n = part.column("n").to_numpy()
+            at = np.repeat(np.arange(len(n)), n)
+            inside = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+            h = np.ascontiguousarray(w["h"])
+            meets = inside[1:] > 0
+            yield pa.RecordBatch.from_arrays([
+                part.column("doc").take(pa.array(at)), part.column("key").take(pa.array(at)),
+                pa.array(part.column("pos").to_numpy()[at] + inside), pa.array(np.ones(len(at), np.int64)), pa.array(h),
+                pa.array(np.ascontiguousarray(w["h2"])),
+                pa.array(np.concatenate(([0], h[:-1])), mask=~np.concatenate(([False], meets))),
+                pa.array(np.concatenate((h[1:], [0])), mask=~np.concatenate((meets, [False])))],
+                ["doc", "key", "pos", "n", "h", "h2", "before", "after"])
+
+
 def repeated_spans(df: DataFrame, entries: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """Compacted spans ``doc, key, start, words, source, source_key, source_start``.
 
@@ -187,26 +225,41 @@ def repeated_spans(df: DataFrame, entries: DataFrame, span: int = SPAN, gram: in
     shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     lists = join_heavy(anchors, cut(shared), "anchor", "rows").groupBy("key").agg(F.collect_list("anchor").alias("anchors"))
     edges = cut(df.join(entries.join(lists, "key"), ["doc", "key"]).select("doc", "key", "text", "anchors").mapInArrow(
-        _edges(span, gram), "doc long, key long, pos long, h long, h2 long, before long, after long"))
-
+        _edges(span, gram), _EDGE))
+    nodes = cut(_nodes(edges, "anchor"))
+    whole = _paths(edges.drop("windows", "anchor"), nodes, span)
+    # Anchors under which edges differ: the windows of the edges' first documents.
+    mixed = nodes.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
+    firsts = nodes.join(mixed, "anchor").select("h", "h2", F.col("source").alias("doc"))
+    windows = edges.join(firsts, ["h", "h2", "doc"]).select("doc", "key", "pos", "n", "windows").mapInArrow(
+        _unpack, "doc long, key long, pos long, n long, h long, h2 long, before long, after long")
+    windows = cut(windows)
+    return whole.unionByName(_paths(windows, _nodes(windows), span))
+
+
+def _nodes(edges: DataFrame, *more: str) -> DataFrame:
+    """Distinct edges: the first source, the last document, and whether paths join before or fork after."""
     def branches(side: str):
         return ~F.coalesce((F.min(side) == F.max(side)) & (F.count(side) == F.count(F.lit(1))), F.lit(False))
 
-    nodes = edges.groupBy("h", "h2").agg(
+    got = edges.groupBy("h", "h2").agg(
         F.min(F.struct("doc", "key", "pos")).alias("first"), F.max("doc").alias("last"),
-        branches("before").alias("joins"), branches("after").alias("forks"))
-    nodes = nodes.where(F.col("first.doc") < F.col("last")).select(
-        "h", "h2", F.col("first.doc").alias("source"), F.col("first.key").alias("source_key"),
-        F.col("first.pos").alias("source_start"), "joins", "forks")
-    places = edges.select("doc", "key", "pos", "h", "h2").join(nodes, ["h", "h2"]).where("doc > source").drop("h", "h2")
+        branches("before").alias("joins"), branches("after").alias("forks"), *[F.min(c).alias(c) for c in more])
+    return got.select("h", "h2", F.col("first.doc").alias("source"), F.col("first.key").alias("source_key"),
+                      F.col("first.pos").alias("source_start"), "last", "joins", "forks", *more)
+
+
+def _paths(edges: DataFrame, nodes: DataFrame, span: int) -> DataFrame:
+    """Spans of edges that an earlier document has, compacted where no path branches."""
+    repeated = nodes.where("source < last").select("h", "h2", "source", "source_key", "source_start", "joins", "forks")
+    places = edges.select("doc", "key", "pos", "n", "h", "h2").join(repeated, ["h", "h2"]).where("doc > source").drop("h", "h2")
     row = Window.partitionBy("doc", "key").orderBy("pos")
-    follows = ((F.lag("pos").over(row) == F.col("pos") - 1)
-               & (F.lag("source").over(row) == F.col("source")) & (F.lag("source_key").over(row) == F.col("source_key"))
-               & (F.lag("source_start").over(row) == F.col("source_start") - 1)
-               & ~F.col("joins") & ~F.lag("forks").over(row))
+    back = lambda c: F.lag(c).over(row)
+    follows = ((back("pos") + back("n") == F.col("pos")) & (back("source") == F.col("source")) & (back("source_key") == F.col("source_key"))
+               & (back("source_start") + back("n") == F.col("source_start")) & ~F.col("joins") & ~back("forks"))
     marked = places.withColumn("new", F.when(F.coalesce(follows, F.lit(False)), 0).otherwise(1))
     return marked.withColumn("path", F.sum("new").over(row)).groupBy("doc", "key", "path").agg(
-        F.min("pos").alias("start"), (F.max("pos") - F.min("pos") + span).alias("words"),
+        F.min("pos").alias("start"), (F.max(F.col("pos") + F.col("n")) - F.min("pos") + (span - 1)).alias("words"),
         F.min("source").alias("source"), F.min("source_key").alias("source_key"),
         F.min("source_start").alias("source_start")).drop("path")
 
