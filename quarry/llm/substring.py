@@ -33,6 +33,7 @@ pass through ``dedup``; names starting with ``sub_`` are reserved.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +46,10 @@ from quarry.llm.common import cut, join_heavy
 SPAN = 50
 GRAM = 10
 NO_ID = 2 ** 63 - 1
+PART_BYTES = 64 << 20
 _CHUNK = 1 << 16
 _P = (1 << 31) - 1
+_UNPACK = None
 _B, _B2 = 0x9E3779B97F4A7C15, 1_732_050_807
 
 
@@ -89,9 +92,29 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def window_hashes(text: str | None, span: int, gram: int, second: bool) -> Iterator[tuple]:
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The column ``sub_text`` compressed, as ``sub_packed``."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for b in batches:
+        rest = [c for c in b.schema.names if c != "sub_text"]
+        raw = [pack(t.as_buffer()) for t in b.column("sub_text")]
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(raw, pa.binary())], [*rest, "sub_packed"])
+
+
+def unpacked(raw: bytes) -> bytes:
+    global _UNPACK
+    if _UNPACK is None:
+        import zstandard
+
+        _UNPACK = zstandard.ZstdDecompressor().decompress
+    return _UNPACK(raw)
+
+
+def window_hashes(text: bytes, span: int, gram: int, second: bool) -> Iterator[tuple]:
     """For chunks of a text's windows: (first place, anchors, function that hashes runs of windows)."""
-    got = (text or "").encode("utf-8", "surrogatepass").split()
+    got = text.split()
     for first in range(0, len(got) - span + 1, _CHUNK):
         part = got[first:first + _CHUNK + span - 1]
         joined = np.frombuffer(b" ".join(part), np.uint8)
@@ -131,8 +154,8 @@ def _anchors(span: int, gram: int):
             for i in range(0, b.num_rows, 512):
                 part = b.slice(i, 512)
                 found, keys = [], []
-                for text, key in zip(part.column(0), part.column(1).to_pylist()):
-                    for _, low, _ in window_hashes(text.as_py(), span, gram, False):
+                for raw, key in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    for _, low, _ in window_hashes(unpacked(raw), span, gram, False):
                         a = np.unique(low[np.concatenate(([True], low[1:] != low[:-1]))])
                         found.append(a)
                         keys.append(np.full(len(a), key, np.int64))
@@ -150,7 +173,7 @@ def _edges(span: int, gram: int):
     """Runs of windows with one repeated anchor: place, hashes, the runs around, and the windows' hashes."""
     names = [x.split()[0] for x in _EDGE.split(", ")]
 
-    def of(doc: int, key: int, text: str, anchors: np.ndarray) -> pa.RecordBatch | None:
+    def of(doc: int, key: int, text: bytes, anchors: np.ndarray) -> pa.RecordBatch | None:
         pos, n, anchor, h, h2, packed = [], [], [], [], [], []
         for first, low, both in window_hashes(text, span, gram, True):
             starts = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
@@ -181,8 +204,9 @@ def _edges(span: int, gram: int):
         for b in batches:
             held, rows = [], 0
             for doc, key, text, anchors in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+                text = unpacked(text.as_py())
                 known = anchors.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                x = of(doc, key, text.as_py(), known)
+                x = of(doc, key, text, known)
                 if x is not None:
                     held.append(x)
                     rows += x.num_rows
@@ -204,27 +228,23 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = part.column("n").to_numpy()
             at = np.repeat(np.arange(len(n)), n)
             inside = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-            h = np.ascontiguousarray(w["h"])
-            meets = inside[1:] > 0
             yield pa.RecordBatch.from_arrays([
                 part.column("doc").take(pa.array(at)), part.column("key").take(pa.array(at)),
-                pa.array(part.column("pos").to_numpy()[at] + inside), pa.array(np.ones(len(at), np.int64)), pa.array(h),
-                pa.array(np.ascontiguousarray(w["h2"])),
-                pa.array(np.concatenate(([0], h[:-1])), mask=~np.concatenate(([False], meets))),
-                pa.array(np.concatenate((h[1:], [0])), mask=~np.concatenate((meets, [False])))],
-                ["doc", "key", "pos", "n", "h", "h2", "before", "after"])
+                pa.array(part.column("pos").to_numpy()[at] + inside), pa.array(np.ascontiguousarray(w["h"])),
+                pa.array(np.ascontiguousarray(w["h2"]))], ["doc", "key", "pos", "h", "h2"])
 
 
 def repeated_spans(df: DataFrame, entries: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """Compacted spans ``doc, key, start, words, source, source_key, source_start``.
 
-    ``df(doc, key, text)``: all rows, key a hash of the text; ``entries(doc,
+    ``df(doc, key, packed)``: all rows, key a hash of the text; ``entries(doc,
     key)``: one row per distinct text, with the least id that has it.
     """
-    anchors = cut(df.select("text", "key").mapInArrow(_anchors(span, gram), "anchor long, key long").distinct())
-    shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    lists = join_heavy(anchors, cut(shared), "anchor", "rows").groupBy("key").agg(F.collect_list("anchor").alias("anchors"))
-    edges = cut(df.join(entries.join(lists, "key"), ["doc", "key"]).select("doc", "key", "text", "anchors").mapInArrow(
+    anchors = cut(df.select("packed", "key").mapInArrow(_anchors(span, gram), "anchor long, key long"))
+    shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("a"), F.max("key").alias("b"))
+    shared = cut(shared.where("a < b").select("anchor", "rows"))
+    lists = join_heavy(anchors, shared, "anchor", "rows").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
+    edges = cut(df.join(entries.join(lists, "key"), ["doc", "key"]).select("doc", "key", "packed", "anchors").mapInArrow(
         _edges(span, gram), _EDGE))
     nodes = cut(_nodes(edges, "anchor"))
     whole = _paths(edges.drop("windows", "anchor"), nodes, span)
@@ -232,9 +252,13 @@ def repeated_spans(df: DataFrame, entries: DataFrame, span: int = SPAN, gram: in
     mixed = nodes.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
     firsts = nodes.join(mixed, "anchor").select("h", "h2", F.col("source").alias("doc"))
     windows = edges.join(firsts, ["h", "h2", "doc"]).select("doc", "key", "pos", "n", "windows").mapInArrow(
-        _unpack, "doc long, key long, pos long, n long, h long, h2 long, before long, after long")
-    windows = cut(windows)
-    return whole.unionByName(_paths(windows, _nodes(windows), span))
+        _unpack, "doc long, key long, pos long, h long, h2 long")
+    windows = windows.select("*", F.lit(1).cast("long").alias("n"))
+    same = windows.groupBy("h", "h2").agg(F.min(F.struct("doc", "key", "pos")).alias("first"), F.max("doc").alias("last"))
+    same = same.where("first.doc < last").select(
+        "h", "h2", F.col("first.doc").alias("source"), F.col("first.key").alias("source_key"),
+        F.col("first.pos").alias("source_start"), "last", F.lit(False).alias("joins"), F.lit(False).alias("forks"))
+    return whole.unionByName(_paths(windows, same, span))
 
 
 def _nodes(edges: DataFrame, *more: str) -> DataFrame:
@@ -270,8 +294,8 @@ def _keep(span: int):
             for i in range(0, b.num_rows, 512):
                 part = b.slice(i, 512)
                 n_words, n_removed, kept = [], [], []
-                for text, copy, spans in zip(part.column("sub_text"), part.column("sub_copy").to_pylist(), part.column("sub_spans").to_pylist()):
-                    got = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
+                for raw, copy, spans in zip(part.column("sub_packed"), part.column("sub_copy").to_pylist(), part.column("sub_spans").to_pylist()):
+                    got = unpacked(raw.as_py()).split()
                     n_words.append(len(got))
                     if copy and len(got) >= span:
                         n_removed.append(len(got))
@@ -300,14 +324,22 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int =
     doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = df.select("*", doc.alias("sub_doc"), F.xxhash64(body).alias("sub_key"), body.alias("sub_text")).drop(text)
-    hashed = rows.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_text").alias("text"))
-    ids = cut(hashed.select("doc", "key", F.unhex(F.md5("text")).alias("digest")).distinct())
+    rows = rows.withColumn("sub_digest", F.unhex(F.md5("sub_text")))
+    # The texts are dealt once, compressed; every later step that needs them joins to that table in place.
+    spark = df.sparkSession
+    size = df.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / PART_BYTES))
+    kinds = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields}
+    packed = ", ".join([v for k, v in kinds.items() if k != "sub_text"] + ["sub_packed binary"])
+    rows = cut(rows.mapInArrow(_packed, packed).repartition(parts, "sub_doc", "sub_key"))
+    hashed = rows.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_packed").alias("packed"))
+    ids = cut(rows.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_digest").alias("digest")).distinct())
     least = cut(ids.groupBy("digest").agg(F.min(F.struct("doc", "key")).alias("e"), F.count(F.lit(1)).alias("rows")))
     spans = repeated_spans(hashed, least.select("e.doc", "e.key").distinct(), span, gram)
     copies = join_heavy(ids, least, "digest", "rows").select("doc", "key", (F.col("doc") > F.col("e.doc")).alias("sub_copy")).where("sub_copy")
     per_doc = spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "words")).alias("sub_spans"))
     plan = copies.join(per_doc, ["doc", "key"], "full").withColumnsRenamed({"doc": "sub_doc", "key": "sub_key"})
-    joined = rows.join(plan, ["sub_doc", "sub_key"], "left").drop("sub_doc", "sub_key")
+    joined = rows.join(plan, ["sub_doc", "sub_key"], "left").drop("sub_doc", "sub_key", "sub_digest")
     joined = joined.withColumn("sub_copy", F.coalesce("sub_copy", F.lit(False)))
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields if not f.name.startswith("sub_")]
-    return joined.mapInArrow(_keep(span), ", ".join([*kinds, "sub_words long", "sub_removed long", "sub_kept string"]))
+    out = [v for k, v in kinds.items() if not k.startswith("sub_")]
+    return joined.mapInArrow(_keep(span), ", ".join([*out, "sub_words long", "sub_removed long", "sub_kept string"]))
