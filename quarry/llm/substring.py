@@ -33,7 +33,6 @@ pass through ``dedup``; names starting with ``sub_`` are reserved.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +45,6 @@ from quarry.llm.common import cut, join_heavy
 SPAN = 50
 GRAM = 10
 NO_ID = 2 ** 63 - 1
-PART_BYTES = 64 << 20
 _CHUNK = 1 << 16
 _P = (1 << 31) - 1
 _UNPACK = None
@@ -325,13 +323,10 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int =
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = df.select("*", doc.alias("sub_doc"), F.xxhash64(body).alias("sub_key"), body.alias("sub_text")).drop(text)
     rows = rows.withColumn("sub_digest", F.unhex(F.md5("sub_text")))
-    # The texts are dealt once, compressed; every later step that needs them joins to that table in place.
-    spark = df.sparkSession
-    size = df.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / PART_BYTES))
+    # The texts are read and compressed once; every later step takes them from there.
     kinds = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields}
     packed = ", ".join([v for k, v in kinds.items() if k != "sub_text"] + ["sub_packed binary"])
-    rows = cut(rows.mapInArrow(_packed, packed).repartition(parts, "sub_doc", "sub_key"))
+    rows = cut(rows.mapInArrow(_packed, packed))
     hashed = rows.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_packed").alias("packed"))
     ids = cut(rows.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_digest").alias("digest")).distinct())
     least = cut(ids.groupBy("digest").agg(F.min(F.struct("doc", "key")).alias("e"), F.count(F.lit(1)).alias("rows")))
