@@ -323,10 +323,10 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int =
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = df.select("*", doc.alias("sub_doc"), F.xxhash64(body).alias("sub_key"), body.alias("sub_text")).drop(text)
     rows = rows.withColumn("sub_digest", F.unhex(F.md5("sub_text")))
-    # The texts are read and compressed once; every later step takes them from there.
+    # Texts are compressed where they are read, so that the two shuffles that need them move less.
     kinds = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields}
     packed = ", ".join([v for k, v in kinds.items() if k != "sub_text"] + ["sub_packed binary"])
-    rows = cut(rows.mapInArrow(_packed, packed))
+    rows = rows.mapInArrow(_packed, packed)
     hashed = rows.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_packed").alias("packed"))
     ids = cut(rows.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_digest").alias("digest")).distinct())
     least = cut(ids.groupBy("digest").agg(F.min(F.struct("doc", "key")).alias("e"), F.count(F.lit(1)).alias("rows")))
