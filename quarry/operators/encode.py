@@ -82,21 +82,19 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 
 
-def _worker_encoder(factory):
-    key = factory if _hashable(factory) else id(factory)
-    enc = _WORKER_ENCODERS.get(key)
-    if enc is None:
-        enc = factory()
-        _WORKER_ENCODERS[key] = enc
-    return enc
+def _worker_encoder(factory, key: str):
+    """The worker's encoder for ``key``; a worker keeps one, so a new key frees the last."""
+    if key not in _WORKER_ENCODERS:
+        _WORKER_ENCODERS.clear()
+        _WORKER_ENCODERS[key] = factory()
+    return _WORKER_ENCODERS[key]
 
 
-def _hashable(x) -> bool:
-    try:
-        hash(x)
-        return True
-    except TypeError:
-        return False
+def factory_key(factory) -> str:
+    """``factory.cache_key`` if it has one, else a digest of the pickled factory."""
+    from pyspark import cloudpickle
+
+    return getattr(factory, "cache_key", None) or hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
 
 
 def encode(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "contents",
@@ -112,8 +110,10 @@ def encode(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "contents",
                            T.StructField("status", T.StringType()),
                            T.StructField("error", T.StringType())])
 
+    key = factory_key(factory)
+
     def run(batches):
-        encoder = _worker_encoder(factory)
+        encoder = _worker_encoder(factory, key)
         for pdf in batches:
             texts = pdf["_text"].tolist()
             vecs: list = [None] * len(texts)
@@ -133,7 +133,7 @@ def encode(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "contents",
                         except Exception as exc:  # noqa: BLE001 - quarantined per row
                             rows.append(None)
                             status[start + j] = "error"
-                            errors[start + j] = f"{type(exc).__name__}: {exc}"[:500]
+                            errors[start + j] = f"{type(exc).__name__}: {exc}"
                 for j, v in enumerate(rows):
                     if v is None:
                         if zero_fill and dim:

@@ -39,7 +39,7 @@ def ordered_gains(judged: DataFrame, keys: Sequence[str] = ("qid", "method"),
         order.append(F.col(tiebreak_col))
     w = Window.partitionBy(*keys).orderBy(*order)
     wi = Window.partitionBy(*keys).orderBy(F.col(gain_col).desc(), *order)
-    return judged.select(*keys, F.col(gain_col).cast("int").alias("gain"),
+    return judged.select(*keys, F.col(gain_col).alias("gain"),
                          F.row_number().over(w).alias("pos"),
                          F.row_number().over(wi).alias("ipos"))
 
@@ -51,11 +51,13 @@ def _discount(pos):
 def per_query(gains: DataFrame, k_values: Sequence[int] = K_VALUES,
               keys: Sequence[str] = ("qid", "method"),
               gold_counts: DataFrame | None = None, gold_qid_col: str = "qid",
-              metrics: Sequence[str] = METRICS, with_dcg: bool = False) -> DataFrame:
+              metrics: Sequence[str] = METRICS, with_dcg: bool = False,
+              queries: DataFrame | None = None) -> DataFrame:
     """(keys, metric, k, value) from ``ordered_gains`` output.
 
     ``gold_counts`` (qid, n_relevant) switches recall to the gold denominator.
-    ``with_dcg`` adds the raw ``dcg`` and ``idcg`` rows.
+    ``with_dcg`` adds the raw ``dcg`` and ``idcg`` rows.  ``queries`` (the keys)
+    adds those without any result: hit and mrr 0, recall and ndcg null.
     """
     keys = list(keys)
     rel = F.col("gain") >= 1
@@ -69,6 +71,9 @@ def per_query(gains: DataFrame, k_values: Sequence[int] = K_VALUES,
                  F.coalesce(F.sum(F.when((ipos <= k) & (gain > 0), gain / _discount(ipos))),
                             F.lit(0.0)).alias(f"idcg_{k}")]
     per = gains.groupBy(*keys).agg(*aggs)
+    if queries is not None:
+        per = queries.select(*keys).distinct().join(per, keys, "left").fillna(
+            0, [c for c in per.columns if c not in keys])
     denom = F.col("num_rel")
     if gold_counts is not None:
         per = per.join(gold_counts.withColumnRenamed(gold_qid_col, keys[0]), keys[0], "left")

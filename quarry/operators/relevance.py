@@ -53,7 +53,7 @@ def dedup_gold(gold: DataFrame, key_cols: list[str], score_col: str = "relevance
     else:
         score = F.max(score_col)
     return gold.where(F.col(key_cols[-1]).isNotNull()).groupBy(*key_cols).agg(
-        F.coalesce(score, F.lit(0)).cast("int").alias(score_col))
+        F.coalesce(score, F.lit(0)).alias(score_col))
 
 
 def gold_gains(results: DataFrame, gold: DataFrame | None, qid_col: str = "qid",
@@ -70,7 +70,7 @@ def gold_gains(results: DataFrame, gold: DataFrame | None, qid_col: str = "qid",
         cond.append(results[qid_col] == g["_gq"])
     g = sizing.broadcast_if_small(g)
     out = results.join(g, cond, "left")
-    return (out.withColumn("gain", F.coalesce(F.col(score_col), F.lit(0)).cast("int"))
+    return (out.withColumn("gain", F.coalesce(F.col(score_col), F.lit(0)))
                .drop("_gid", "_gq", score_col))
 
 

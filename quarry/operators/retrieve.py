@@ -8,6 +8,8 @@ question, the request and the latency; ``flatten_run`` undoes the nesting.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +35,8 @@ def retrieve(queries: DataFrame, *, method: str = "rrf", k: int = 20, depth: int
              bm25_index: bm25_ops.Bm25Index | None = None,
              doc_vectors: DataFrame | None = None, query_vectors: DataFrame | None = None,
              rrf_k: int = RRF_K, qid_col: str = "qid", text_col: str = "question",
-             id_col: str = "doc_id", vec_col: str = "embedding") -> DataFrame:
+             id_col: str = "doc_id", vec_col: str = "embedding",
+             pad_unmatched: bool = False, corpus_ids: DataFrame | None = None) -> DataFrame:
     """Rank documents for every query at once.
 
     ``bm25`` / ``dense``: top k of that retriever.  ``rrf``: each retriever to
@@ -45,7 +48,8 @@ def retrieve(queries: DataFrame, *, method: str = "rrf", k: int = 20, depth: int
         if bm25_index is None:
             raise ValueError("bm25 needs bm25_index")
         return bm25_ops.top_k_lexical(bm25_index, queries, k=n, qid_col=qid_col,
-                                      text_col=text_col)
+                                      text_col=text_col, pad_unmatched=pad_unmatched,
+                                      corpus_ids=corpus_ids)
 
     def semantic(n):
         if doc_vectors is None or query_vectors is None:
@@ -80,15 +84,25 @@ RESULT_STRUCT = ["rank", "score", "id", "title", "content"]
 
 
 def build_run(results: DataFrame, queries: DataFrame, requests: DataFrame | None = None,
-              latency_ms=None, qid_col: str = "qid", question_col: str = "question") -> DataFrame:
+              latency_ms=None, qid_col: str = "qid", question_col: str = "question",
+              methods: Sequence[str] | None = None) -> DataFrame:
     """One row per query: question, request, retriever, latency_ms, top_results.
 
+    A query without results has an empty list, under each of ``methods`` (by
+    default the one method of ``results``).
+
     ``requests`` is joined on the query id (left join), never by position.
     ``latency_ms``: a number or a Column; null when absent.
     """
     per_q = results.groupBy(qid_col, "method").agg(
         F.sort_array(F.collect_list(F.struct(*RESULT_STRUCT))).alias("top_results"))
-    run = queries.select(qid_col, question_col).join(per_q, qid_col, "inner")
+    asked = queries.select(qid_col, question_col)
+    if methods is None:
+        asked = asked.withColumn("method", results.agg(F.max("method")).scalar())
+    else:
+        asked = asked.withColumn("method", F.explode(F.array(*[F.lit(canonical_method(m)) for m in methods])))
+    empty = F.array().cast(per_q.schema["top_results"].dataType)
+    run = asked.join(per_q, [qid_col, "method"], "left").withColumn("top_results", F.coalesce("top_results", empty))
     if requests is not None:
         req_cols = [c for c in requests.columns if c != qid_col]
         run = run.join(requests.select(qid_col, F.struct(*req_cols).alias("full_question")),
@@ -103,6 +117,7 @@ def build_run(results: DataFrame, queries: DataFrame, requests: DataFrame | None
 
 
 def flatten_run(run: DataFrame, qid_col: str = "qid") -> DataFrame:
+    """One row per result; a query without results keeps one row with a null result."""
     keep = [c for c in run.columns if c not in ("top_results", "full_question")]
-    return (run.select(*keep, F.posexplode("top_results").alias("_pos", "r"))
+    return (run.select(*keep, F.posexplode_outer("top_results").alias("_pos", "r"))
                .select(*keep, "_pos", "r.*"))

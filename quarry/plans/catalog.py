@@ -32,25 +32,25 @@ DEPTH = 100
 PAD_K = 500
 HASH_DIM = 128
 SMALL_HASH_DIM = 32
-QUARANTINE_CHARS = 15000
+QUARANTINE_MARKER = "Licensed under"
 METHOD_NAMES = {"dense": "Dense (baseline)", "rrf": "RRF-2 (BM25 + Dense)"}
 
 
-class LengthLimitedFactory:
-    """Hashing encoder that refuses texts longer than a limit (as a model with a
-    maximum input would); used to exercise per-row quarantine."""
+class MarkerFactory:
+    """Hashing encoder that refuses texts with a marker (as a model refuses
+    contents it cannot take); used to exercise per-row quarantine."""
 
-    def __init__(self, max_chars: int):
-        self.max_chars = max_chars
+    def __init__(self, marker: str):
+        self.marker = marker
 
     def __call__(self):
         inner = encode.HashingEncoder(HASH_DIM)
-        limit = self.max_chars
+        marker = self.marker
 
         def run(texts):
             for t in texts:
-                if len(t) > limit:
-                    raise ValueError(f"text of {len(t)} characters exceeds {limit}")
+                if marker in t:
+                    raise ValueError(f"text with {marker!r}")
             return inner(texts)
         return run
 
@@ -221,7 +221,7 @@ def dense_text_topk(spark, sf_dir):
 def encode_quarantine(spark, sf_dir):
     d = fx.documents_corpus(spark, sf_dir)
     out = encode.encode(d, id_col="doc_id", text_col="contents",
-                        encoder_factory=LengthLimitedFactory(QUARANTINE_CHARS))
+                        encoder_factory=MarkerFactory(QUARANTINE_MARKER))
     dims = F.when(F.col("embedding").isNotNull(), F.size("embedding"))
     return out.select("doc_id", "status", dims.cast("int").alias("dims"))
 

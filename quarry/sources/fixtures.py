@@ -69,11 +69,11 @@ def label_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def benchmark_keyword_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(qid, tier, keyword): decisive = first 40 characters lower-cased;
+    """(qid, tier, keyword): decisive = the whole text lower-cased;
     supportive = the distinct tokens of at least 8 characters."""
     b = benchmark_queries(spark, sf_dir)
     decisive = b.select("qid", F.lit("decisive").alias("tier"),
-                        F.lower(F.substring("question", 1, 40)).alias("keyword"))
+                        F.lower("question").alias("keyword"))
     supportive = (b.select("qid", F.explode(F.array_distinct(tokens("question"))).alias("keyword"))
                    .where(F.length("keyword") >= 8)
                    .select("qid", F.lit("supportive").alias("tier"), "keyword"))

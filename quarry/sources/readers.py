@@ -51,7 +51,7 @@ RUN_ENTRY = T.StructType([
 GOLD_ENTRY = T.StructType([
     T.StructField("manually_selected_top_5", T.ArrayType(T.StructType([
         T.StructField("id", T.StringType()),
-        T.StructField("relevance_score", T.IntegerType()),
+        T.StructField("relevance_score", T.DoubleType()),
     ]))),
 ])
 

@@ -25,10 +25,7 @@ TARGET_BUCKET_BYTES = 512 * 1024 * 1024
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (the file size for a plain scan)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimate only
-        return 0
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def choose_buckets(df: DataFrame, minimum: int | None = None) -> int:

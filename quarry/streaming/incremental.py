@@ -15,25 +15,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from quarry.operators import encode as encode_ops
 from quarry.plans import sizing
 
 
-def _existing_ids(spark: SparkSession, vectors_path: str, id_col: str) -> DataFrame | None:
+def _existing_ids(spark: SparkSession, vectors_path: str, id_col: str, retry_failed: bool) -> DataFrame | None:
+    """Ids not to encode again; None if there is no table yet (any other failure is raised)."""
     try:
-        return spark.read.parquet(vectors_path).select(id_col)
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
+        stored = spark.read.parquet(vectors_path)
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    if retry_failed and "status" in stored.columns:
+        stored = stored.where("status = 'ok'")
+    return stored.select(id_col)
 
 
 def encode_missing(corpus: DataFrame, vectors_path: str, *, id_col: str = "doc_id",
                    text_col: str = "contents", dim: int = 128,
-                   encoder: str = "hash", encoder_factory=None) -> DataFrame:
+                   encoder: str = "hash", encoder_factory=None,
+                   retry_failed: bool = False) -> DataFrame:
     """Append vectors for the documents missing from ``vectors_path``; returns
-    the (lazy) frame of what was appended."""
+    the (lazy) frame of what was appended.
+
+    With an encoder factory, ``status`` and ``error`` are stored as well: a
+    document that failed keeps its row and is tried again only with
+    ``retry_failed`` (its new row is appended)."""
     spark = corpus.sparkSession
-    existing = _existing_ids(spark, vectors_path, id_col)
+    existing = _existing_ids(spark, vectors_path, id_col, retry_failed)
     if existing is None:
         todo = corpus
     else:
@@ -48,9 +60,7 @@ def encode_missing(corpus: DataFrame, vectors_path: str, *, id_col: str = "doc_i
     if encoder == "hash":
         new = encode_ops.hash_encode(todo, id_col, text_col, dim)
     else:
-        new = (encode_ops.encode(todo, id_col=id_col, text_col=text_col,
-                                 encoder_factory=encoder_factory)
-                         .where("status = 'ok'").select(id_col, "embedding"))
+        new = encode_ops.encode(todo, id_col=id_col, text_col=text_col, encoder_factory=encoder_factory)
     new.write.mode("append").parquet(vectors_path)
     return new
 
@@ -58,6 +68,7 @@ def encode_missing(corpus: DataFrame, vectors_path: str, *, id_col: str = "doc_i
 def run_encode_stream(spark: SparkSession, landing_dir: str, schema: T.StructType,
                       vectors_path: str, checkpoint: str, *, id_col: str = "doc_id",
                       text_col: str = "contents", dim: int = 128,
+                      encoder: str = "hash", encoder_factory=None,
                       max_files_per_trigger: int | None = None) -> None:
     """Process every file currently in ``landing_dir`` (``availableNow``) and stop."""
     reader = spark.readStream.schema(schema)
@@ -66,7 +77,8 @@ def run_encode_stream(spark: SparkSession, landing_dir: str, schema: T.StructTyp
     stream = reader.parquet(landing_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        encode_missing(batch, vectors_path, id_col=id_col, text_col=text_col, dim=dim)
+        encode_missing(batch, vectors_path, id_col=id_col, text_col=text_col, dim=dim,
+                       encoder=encoder, encoder_factory=encoder_factory)
 
     q = (stream.writeStream.foreachBatch(sink)
                .option("checkpointLocation", checkpoint)

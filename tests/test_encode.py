@@ -17,12 +17,12 @@ def test_python_and_jvm_hash_encoders_agree(spark):
 
 
 def test_quarantine_isolates_failing_rows(spark):
-    from quarry.plans.catalog import HASH_DIM, LengthLimitedFactory
-    picky = LengthLimitedFactory(20)  # refuses texts over 20 characters
+    from quarry.plans.catalog import HASH_DIM, MarkerFactory
+    picky = MarkerFactory("xx")  # refuses texts with the marker
     df = spark.createDataFrame([(i, "fine text" if i != 3 else "x" * 50) for i in range(8)] + [(8, None)],
                                "doc_id long, contents string")
     rows = {r.doc_id: r for r in encode.encode(df, encoder_factory=picky, batch_size=4).collect()}
-    assert rows[3].status == "error" and rows[3].embedding is None and "exceeds" in rows[3].error
+    assert rows[3].status == "error" and rows[3].embedding is None and "xx" in rows[3].error
     assert all(rows[i].status == "ok" and len(rows[i].embedding) == HASH_DIM for i in rows if i != 3)
     assert rows[8].embedding == [0.0] * HASH_DIM  # null text -> '' -> zero vector
     z = {r.doc_id: r for r in encode.encode(df, encoder_factory=picky, zero_fill=True,
@@ -54,3 +54,40 @@ def test_incremental_and_stream_are_idempotent(spark, tmp_path):
     assert s.count() == docs.count()
     one_shot = {r.doc_id: r.embedding for r in encode.hash_encode(docs).collect()}
     assert {r.doc_id: r.embedding for r in s.collect()} == one_shot
+
+
+def test_failed_rows_are_stored_and_a_failing_read_adds_nothing(spark, tmp_path):
+    from quarry.plans.catalog import MarkerFactory
+    from quarry.streaming import incremental
+    df = spark.createDataFrame([(1, "fine"), (2, "bad xx"), (3, "good")], "doc_id long, contents string")
+    path = str(tmp_path / "vectors")
+    for _ in range(2):
+        incremental.encode_missing(df, path, encoder="model", encoder_factory=MarkerFactory("xx"))
+    rows = {r.doc_id: r for r in spark.read.parquet(path).collect()}
+    assert spark.read.parquet(path).count() == 3
+    assert rows[2].status == "error" and "xx" in rows[2].error and rows[1].status == "ok"
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        incremental.encode_missing(df, str(tmp_path / "broken"), encoder="model", encoder_factory=MarkerFactory("xx"))
+    assert [p.name for p in (tmp_path / "broken").iterdir()] == ["part-0.parquet"]
+
+
+def test_a_worker_loads_an_encoder_once(spark, tmp_path):
+    from pathlib import Path
+    folder = tmp_path / "loads"
+    folder.mkdir()
+
+    class Counting:
+        cache_key = f"counting-{folder}"
+
+        def __call__(self):
+            import os
+            import uuid
+            Path(folder, f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+            return lambda texts: np.ones((len(texts), 2))
+
+    df = spark.range(40).selectExpr("id AS doc_id", "'t' AS contents").repartition(20)
+    encode.encode(df, encoder_factory=Counting()).collect()
+    pids = [p.name.split("-")[0] for p in folder.iterdir()]
+    assert pids and len(pids) == len(set(pids))

@@ -171,3 +171,24 @@ def test_known_item_gold_exact(spark):
     reuse = {(r.qid, r.doc_id) for r in relevance.known_item_gold(
         docs, items, postings=idx.postings, doc_freq=idx.term_stats).collect()}
     assert plain == reuse == expect
+
+
+def test_queries_without_results_count_in_every_average(spark):
+    from quarry.operators import evaluate, retrieve
+    results = spark.createDataFrame([("q1", "bm25", 1, 1.0, "7", "t", "kw")],
+                                    "qid string, method string, rank int, score double, id string, title string, content string")
+    queries = spark.createDataFrame([("q1", "a"), ("q2", "b")], "qid string, question string")
+    run = retrieve.build_run(results, queries)
+    assert run.count() == 2 and {r.qid: r.num_results for r in run.collect()} == {"q1": 1, "q2": 0}
+    rules = spark.createDataFrame([("q1", "decisive", "kw")], "qid string, tier string, keyword string")
+    ev = evaluate.evaluate(retrieve.flatten_run(run), rules=rules, k_values=(5,))
+    s = {r.metric: (r.value, r.n_queries) for r in ev.summary.collect()}
+    assert s["hit"] == (0.5, 2) and s["mrr"] == (0.5, 2) and s["recall"] == (1.0, 2)
+
+
+def test_fractional_gold_is_kept(spark):
+    from quarry.operators import relevance
+    results = spark.createDataFrame([("q", "a", 1), ("q", "b", 2)], "qid string, id string, rank int")
+    gold = spark.createDataFrame([("q", "a", 0.5)], "qid string, id string, relevance_score double")
+    got = {r.id: r.gain for r in relevance.gold_gains(results, gold).collect()}
+    assert got == {"a": 0.5, "b": 0.0}
