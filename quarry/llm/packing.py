@@ -104,12 +104,13 @@ class WordTokenizer:
 
     def _word(self, word: str) -> bytes:
         if max(word) <= "\u017f":
-            if word.isalpha():
-                return self.pieces[word.lower()]
-            if word[:-1].isalpha() and word[-1] in ".,;:!?)":
-                return self.pieces[word[:-1].lower()] + self.pieces[word[-1]]
+            low = word.lower()
+            if low.isalpha():
+                return self.pieces[low]
+            if low[:-1].isalpha() and low[-1] in ".,;:!?)":
+                return self.pieces[low[:-1]] + self.pieces[low[-1]]
             if "<|" not in word and self.simple(word):
-                return b"".join(map(self.pieces.__getitem__, self.split(word.lower())))
+                return b"".join(map(self.pieces.__getitem__, self.split(low)))
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
