@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 SEQUENCE_TOKENS = 2048
 END_ID = 0
-GROUP_TOKENS = 1 << 22
-CACHED_WORDS = 300_000
+GROUP_TOKENS = 1 << 21
+CACHED_WORDS = 100_000
 _LOADED: dict[str, "WordTokenizer"] = {}
 
 
