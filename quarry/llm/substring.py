@@ -152,8 +152,8 @@ def _anchors(span: int, gram: int):
             for i in range(0, b.num_rows, 512):
                 part = b.slice(i, 512)
                 found, keys = [], []
-                for raw, key in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for _, low, _ in window_hashes(unpacked(raw), span, gram, False):
+                for text, key in zip(part.column(0), part.column(1).to_pylist()):
+                    for _, low, _ in window_hashes(text.as_buffer().to_pybytes(), span, gram, False):
                         a = np.unique(low[np.concatenate(([True], low[1:] != low[:-1]))])
                         found.append(a)
                         keys.append(np.full(len(a), key, np.int64))
@@ -232,13 +232,14 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(np.ascontiguousarray(w["h2"]))], ["doc", "key", "pos", "h", "h2"])
 
 
-def repeated_spans(df: DataFrame, entries: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+def repeated_spans(texts: DataFrame, df: DataFrame, entries: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """Compacted spans ``doc, key, start, words, source, source_key, source_start``.
 
-    ``df(doc, key, packed)``: all rows, key a hash of the text; ``entries(doc,
-    key)``: one row per distinct text, with the least id that has it.
+    ``texts(text, key)``: all rows, key a hash of the text; ``df(doc, key,
+    packed)``: the same rows with compressed texts; ``entries(doc, key)``: one
+    row per distinct text, with the least id that has it.
     """
-    anchors = cut(df.select("packed", "key").mapInArrow(_anchors(span, gram), "anchor long, key long"))
+    anchors = cut(texts.select("text", "key").mapInArrow(_anchors(span, gram), "anchor long, key long"))
     shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("a"), F.max("key").alias("b"))
     shared = cut(shared.where("a < b").select("anchor", "rows"))
     lists = join_heavy(anchors, shared, "anchor", "rows").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
@@ -326,11 +327,13 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int =
     # Texts are compressed where they are read, so that the two shuffles that need them move less.
     kinds = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields}
     packed = ", ".join([v for k, v in kinds.items() if k != "sub_text"] + ["sub_packed binary"])
+    # Anchors move no text, so they read it as it is: one Python function in that stage, not two.
+    ids, texts = rows, rows.select(F.col("sub_text").alias("text"), F.col("sub_key").alias("key"))
     rows = rows.mapInArrow(_packed, packed)
     hashed = rows.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_packed").alias("packed"))
-    ids = cut(rows.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_digest").alias("digest")).distinct())
+    ids = cut(ids.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_digest").alias("digest")).distinct())
     least = cut(ids.groupBy("digest").agg(F.min(F.struct("doc", "key")).alias("e"), F.count(F.lit(1)).alias("rows")))
-    spans = repeated_spans(hashed, least.select("e.doc", "e.key").distinct(), span, gram)
+    spans = repeated_spans(texts, hashed, least.select("e.doc", "e.key").distinct(), span, gram)
     copies = join_heavy(ids, least, "digest", "rows").select("doc", "key", (F.col("doc") > F.col("e.doc")).alias("sub_copy")).where("sub_copy")
     per_doc = spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "words")).alias("sub_spans"))
     plan = copies.join(per_doc, ["doc", "key"], "full").withColumnsRenamed({"doc": "sub_doc", "key": "sub_key"})
