@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, join_heavy
+from quarry.llm.common import cut, join_heavy, written
 
 SPAN = 50
 GRAM = 10
@@ -239,11 +239,11 @@ def repeated_spans(texts: DataFrame, df: DataFrame, entries: DataFrame, span: in
     packed)``: the same rows with compressed texts; ``entries(doc, key)``: one
     row per distinct text, with the least id that has it.
     """
-    anchors = cut(texts.select("text", "key").mapInArrow(_anchors(span, gram), "anchor long, key long"))
+    anchors = written(texts.select("text", "key").mapInArrow(_anchors(span, gram), "anchor long, key long"))
     shared = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("a"), F.max("key").alias("b"))
     shared = cut(shared.where("a < b").select("anchor", "rows"))
     lists = join_heavy(anchors, shared, "anchor", "rows").groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
-    edges = cut(df.join(entries.join(lists, "key"), ["doc", "key"]).select("doc", "key", "packed", "anchors").mapInArrow(
+    edges = written(df.join(entries.join(lists, "key"), ["doc", "key"]).select("doc", "key", "packed", "anchors").mapInArrow(
         _edges(span, gram), _EDGE))
     nodes = cut(_nodes(edges, "anchor"))
     whole = _paths(edges.drop("windows", "anchor"), nodes, span)
