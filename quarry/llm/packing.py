@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 SEQUENCE_TOKENS = 2048
 END_ID = 0
 GROUP_TOKENS = 1 << 21
-CACHED_WORDS = 100_000
+CACHED_WORDS = 200_000
 _LOADED: dict[str, "WordTokenizer"] = {}
 
 
@@ -80,10 +80,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize  # each access to ``model`` makes a new wrapper
         self.simple = regex.compile(self.SIMPLE).fullmatch
         self.split = regex.compile(self.SPLIT).findall
         self.letters = _byte_letters()
-        self.pieces = _Known(self._piece, CACHED_WORDS)
         self.words = _Known(self._word, CACHED_WORDS)
 
     @classmethod
@@ -100,17 +100,18 @@ class WordTokenizer:
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
             piece = "".join([self.letters[b] for b in piece.encode()])
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+        return array("I", [t.id for t in self.tokenize(piece)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if max(word) <= "\u017f":
+        if word.isascii() or max(word) <= "\u017f":
             low = word.lower()
             if low.isalpha():
-                return self.pieces[low]
+                return self._piece(low) if low == word else self.words[low]
             if low[:-1].isalpha() and low[-1] in ".,;:!?)":
-                return self.pieces[low[:-1]] + self.pieces[low[-1]]
+                return self.words[low[:-1]] + self.words[low[-1]]
             if "<|" not in word and self.simple(word):
-                return b"".join(map(self.pieces.__getitem__, self.split(low)))
+                pieces = self.split(low)
+                return self._piece(word) if pieces == [word] else b"".join(map(self.words.__getitem__, pieces))
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
