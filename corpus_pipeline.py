@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id."""
+    """One document of each group of near-duplicates: the one with the least id (one without id if none has any)."""
     return simhash.keep_one(docs).select(*docs.columns)
 
 

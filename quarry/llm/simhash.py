@@ -21,11 +21,12 @@ spreads over all tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import connected_components, cut, join_heavy
@@ -70,15 +71,16 @@ def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(total * 2 > n).tobytes(), "big", signed=True)
 
 
-def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp`` (signed 64-bit) for every row."""
+def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, fp`` (signed 64-bit) for every row, then the columns ``keep`` (of type long)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = [text_fingerprint(t.as_py(), shingle) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64()), *b.columns[2:]], ["doc_id", "fp", *keep])
 
-    source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    source = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *keep)
+    return source.mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *keep)))
 
 
 def bucket_links(fp: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
@@ -192,8 +194,39 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     return join_heavy(docs, cut(named), "fp", "rows").select("doc_id", "fp", "component_id")
 
 
-def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows whose id is their component's (a row without id stays if its component has none)."""
-    got = near_duplicates(df.select(doc_id, text), doc_id, text, **options)
-    keep = got.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct()
-    return df.join(keep, doc_id, "left_semi")
+def row_hashes(df: DataFrame, doc_id: str, text: str) -> list[Column]:
+    """Two hashes of a row (id and text first; without columns of a kind that has no hash)."""
+    rest = [f"`{f.name}`" for f in df.schema.fields if f.name not in (doc_id, text)
+            and not re.search(r"\b(map|variant)\b", f.dataType.simpleString())]
+    values = [x for c in (doc_id, text, *rest) for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(F.lit(i), *values) for i in range(2)]
+
+
+def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+             radius: int = RADIUS, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """One row of each component, with all its columns: the first by id (null last), then by row hash.
+
+    Rows are told apart by their hash, not by their id: rows without an id stay
+    unless their component has another row, texts under one id are decided each
+    for itself, and of rows equal in all columns one stays.  Names starting
+    with ``sim_`` are reserved.
+    """
+    hashes = row_hashes(df, doc_id, text)
+    hashed = df.withColumns({"sim_a": hashes[0], "sim_b": hashes[1]})
+    key = F.struct("sim_a", "sim_b").alias("sim_key")
+    docs = fingerprints(hashed, doc_id, text, shingle, ["sim_a", "sim_b"])
+    entries = cut(docs.groupBy("sim_a", "sim_b", "doc_id", "fp").agg(F.count(F.lit(1)).alias("sim_rows")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sim_a", "sim_b"))
+    fps = cut(entries.groupBy("fp").agg(first.alias("first")))
+    roots = connected_components(links(fps.select("fp"), radius, max_bucket))
+    kept = fps.join(roots, fps["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(
+        F.min("first").alias("first")).select("first.sim_a", "first.sim_b", F.lit(True).alias("sim_kept"))
+    named = cut(entries.join(kept, ["sim_a", "sim_b"], "left").select(
+        key, "sim_rows", F.col("sim_rows").alias("sim_copies"), F.coalesce("sim_kept", F.lit(False)).alias("sim_kept")))
+    got = join_heavy(hashed.withColumn("sim_key", key), named, "sim_key", "sim_rows").where("sim_kept")
+    once = got.where("sim_copies = 1").select(*[F.col(f"`{c}`") for c in df.columns])
+    if named.where("sim_kept AND sim_copies > 1").isEmpty():
+        return once
+    again = got.where("sim_copies > 1").groupBy("sim_key").agg(
+        F.first(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("sim_row")).select("sim_row.*")
+    return once.unionByName(again)

@@ -235,6 +235,32 @@ def test_near_duplicates_equal_all_pairs(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark, docs, empty):
+    """Null ids, rows that repeat an id under other texts, and rows equal in all columns, against all pairs."""
+    base, late = docs.where("doc_id = 20").first().text, "late " * 30 + "row"
+    own = [(50, late, "s0", 1), (20, late, "s1", 1), (20, base, "s0", 1), (20, base, "s0", 1), (60, "six of one " * 9, "s0", 1),
+           (60, "six of one " * 9, "s0", 1), (None, "no id at all " * 9, "s0", 1), (None, "no id at all " * 9, "s0", 1),
+           (None, "no id at all " * 9, None, 1), (None, base, "s2", 1), (70, "other " * 40, "s0", 1), (5, "other " * 40, "s0", 1)]
+    table = docs.unionByName(spark.createDataFrame(own, docs.schema)).withColumn("m", F.create_map(F.lit("k"), "text"))
+    rows = [(r.doc_id, r.text, r.source, r.n_words) for r in table.repartition(5).collect()]
+    prints = [brute_fingerprint(r[1]) for r in rows]
+    group = list(range(len(rows)))
+    for _ in rows:
+        group = [min(group[j] for j, b in enumerate(prints) if (a ^ b).bit_count() <= 4) for a in prints]
+    for limit in (simhash.MAX_BUCKET, 1):
+        got = simhash.keep_one(table, max_bucket=limit)
+        assert got.columns == table.columns
+        got = [(r.doc_id, r.text, r.source, r.n_words) for r in got.collect()]
+        assert set(got) <= set(rows) and len(got) == len(set(got))
+        assert Counter(group[rows.index(r)] for r in got) == Counter(set(group))
+        for r in got:
+            mates = [x[0] for x, g in zip(rows, group) if g == group[rows.index(r)] and x[0] is not None]
+            assert r[0] == min(mates, default=None)
+    again = simhash.keep_one(table.repartition(7)).collect()
+    assert Counter((r.doc_id, r.text, r.source, r.n_words) for r in again) == Counter(got)
+    assert simhash.keep_one(empty).count() == 0
+
+
 def test_masks_cover_every_small_difference():
     masks = [m % 2 ** 64 for m in simhash.masks()]
     rng = np.random.default_rng(4)
