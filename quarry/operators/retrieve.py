@@ -89,7 +89,7 @@ def build_run(results: DataFrame, queries: DataFrame, requests: DataFrame | None
     """One row per query: question, request, retriever, latency_ms, top_results.
 
     A query without results has an empty list, under each of ``methods`` (by
-    default the one method of ``results``).
+    default all methods of ``results``).
 
     ``requests`` is joined on the query id (left join), never by position.
     ``latency_ms``: a number or a Column; null when absent.
@@ -98,7 +98,7 @@ def build_run(results: DataFrame, queries: DataFrame, requests: DataFrame | None
         F.sort_array(F.collect_list(F.struct(*RESULT_STRUCT))).alias("top_results"))
     asked = queries.select(qid_col, question_col)
     if methods is None:
-        asked = asked.withColumn("method", results.agg(F.max("method")).scalar())
+        asked = asked.withColumn("method", F.explode_outer(results.agg(F.collect_set("method")).scalar()))
     else:
         asked = asked.withColumn("method", F.explode(F.array(*[F.lit(canonical_method(m)) for m in methods])))
     empty = F.array().cast(per_q.schema["top_results"].dataType)

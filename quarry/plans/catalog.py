@@ -361,8 +361,14 @@ def gains(spark, sf_dir):
     return g.select("qid", "method", F.col("pos").cast("int").alias("pos"), "gain")
 
 
+def _asked(queries, *methods):
+    """(qid, method) of every query asked, with or without results."""
+    return queries.select("qid", F.explode(F.array(*[F.lit(m) for m in methods])).alias("method"))
+
+
 def _metrics_q(spark, sf_dir, with_dcg=False):
-    return metrics.per_query(_gains(spark, sf_dir), K_VALUES, with_dcg=with_dcg)
+    asked = _asked(fx.benchmark_queries(spark, sf_dir), "dense", "rrf")
+    return metrics.per_query(_gains(spark, sf_dir), K_VALUES, with_dcg=with_dcg, queries=asked)
 
 
 def metric_out(df: DataFrame) -> DataFrame:
@@ -388,7 +394,7 @@ def recall_gold_at_k(spark, sf_dir):
     counts = gold.where(F.col("relevance_score") >= 1).groupBy("qid").agg(
         F.count(F.lit(1)).alias("n_relevant"))
     m = metrics.per_query(metrics.ordered_gains(judged), K_VALUES, gold_counts=counts,
-                          metrics=("recall",))
+                          metrics=("recall",), queries=_asked(fx.benchmark_queries(spark, sf_dir), "rrf"))
     return metric_out(m)
 
 
@@ -411,6 +417,24 @@ def metrics_summary(spark, sf_dir):
     return summary_out(_summary(spark, sf_dir))
 
 
+#: A query whose one token is in no document.
+UNMATCHED_QID, UNMATCHED_TEXT = -1, "zzqxnotoken"
+
+
+@register("summary_with_empty")
+def summary_with_empty(spark, sf_dir):
+    """BM25 over the benchmark queries and one that no document matches; it counts in every average."""
+    bench = fx.benchmark_queries(spark, sf_dir)
+    extra = spark.range(1).select(F.lit(UNMATCHED_QID).cast(bench.schema["qid"].dataType).alias("qid"),
+                                  F.lit(UNMATCHED_TEXT).alias("question"))
+    queries, ws = bench.unionByName(extra), Workspace.of(spark, sf_dir)
+    ranking = retrieve_ops.retrieve(queries, method="bm25", k=TOP_K, bm25_index=ws.index())
+    results = retrieve_ops.format_results(ranking, ws.corpus())
+    judged = relevance.keyword_gains(results, fx.benchmark_keyword_rules(spark, sf_dir))
+    m = metrics.per_query(metrics.ordered_gains(judged), K_VALUES, queries=_asked(queries, "bm25"))
+    return summary_out(metrics.summarize(m))
+
+
 def _latency(spark, sf_dir):
     runs = _run(spark, sf_dir, "dense").unionByName(_run(spark, sf_dir, "rrf"))
     return metrics.avg_latency(runs)
@@ -451,7 +475,8 @@ def label_dense_metrics(spark, sf_dir):
                                  .withColumnRenamed("label", "qlabel"), "qid")
                      .withColumn("gain", (F.col("label") == F.col("qlabel")).cast("int"))
                      .withColumn("method", F.lit("dense")))
-    m = metrics.per_query(metrics.ordered_gains(judged), K_VALUES)
+    asked = _asked(labels.withColumnRenamed("doc_id", "qid"), "dense")
+    m = metrics.per_query(metrics.ordered_gains(judged), K_VALUES, queries=asked)
     return summary_out(metrics.summarize(m))
 
 

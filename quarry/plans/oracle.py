@@ -386,6 +386,18 @@ SQL["metrics_summary"] = f"""{KW_METRICS},
 {SUMMARY}
 {SUMMARY_OUT}"""
 
+_WITH_EMPTY = metric_ctes('judged', "'bm25'").replace("mq AS (", """per_all AS (
+  SELECT q.qid, 'bm25' AS method, ks.k, coalesce(x.first_rel, 0) AS first_rel, coalesce(x.num_rel, 0) AS num_rel,
+         coalesce(x.rel_k, 0) AS rel_k, coalesce(x.dcg, 0e0) AS dcg, coalesce(x.idcg, 0e0) AS idcg
+  FROM (SELECT item_id AS qid FROM benchmark UNION ALL SELECT -1) q CROSS JOIN ks
+       LEFT JOIN per x ON x.qid = q.qid AND x.k = ks.k),
+mq AS (""").replace("FROM per p", "FROM per_all p")
+
+SQL["summary_with_empty"] = f"""WITH {retrieval_ctes()},
+{_WITH_EMPTY},
+{SUMMARY}
+{SUMMARY_OUT}"""
+
 SQL["avg_latency"] = f"""WITH {retrieval_ctes()},
 {LATENCY}
 SELECT method, round(avg_latency_ms, 6) AS avg_latency_ms, n_queries FROM latency"""

@@ -186,6 +186,34 @@ def test_queries_without_results_count_in_every_average(spark):
     assert s["hit"] == (0.5, 2) and s["mrr"] == (0.5, 2) and s["recall"] == (1.0, 2)
 
 
+def test_run_keeps_every_method_and_query(spark):
+    from quarry.operators import retrieve
+    columns = "qid string, method string, rank int, score double, id string, title string, content string"
+    results = spark.createDataFrame([("q1", "bm25", 1, 1.0, "7", "t", "c"), ("q1", "rrf", 1, 2.0, "8", "t", "c"),
+                                     ("q2", "rrf", 1, 2.0, "9", "t", "c")], columns)
+    queries = spark.createDataFrame([("q1", "a"), ("q2", "b"), ("q3", "c")], "qid string, question string")
+    run = {(r.qid, r.method): [x.id for x in r.top_results] for r in retrieve.build_run(results, queries).collect()}
+    assert run == {("q1", "bm25"): ["7"], ("q1", "rrf"): ["8"], ("q2", "bm25"): [], ("q2", "rrf"): ["9"],
+                   ("q3", "bm25"): [], ("q3", "rrf"): []}
+    none = retrieve.build_run(results.where("false"), queries).collect()
+    assert sorted((r.qid, r.method, r.num_results) for r in none) == [("q1", None, 0), ("q2", None, 0), ("q3", None, 0)]
+
+
+def test_registered_averages_count_queries_without_results(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from conftest import SF_SMALL
+    from quarry.plans import catalog
+    v = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").limit(30)
+    first = v.agg(F.min("vec_id")).first()[0]
+    v.withColumn("embedding", F.when(F.col("vec_id") != first, F.col("embedding"))).unionByName(v.where(F.col("vec_id") == first)
+        .withColumn("vec_id", F.lit(-5).cast("long"))).write.parquet(str(tmp_path / "embeddings.parquet"))
+    rows = catalog.QUERIES["label_dense_metrics"](spark, str(tmp_path)).collect()
+    assert {r.n_queries for r in rows} == {31}
+    empty = catalog.QUERIES["summary_with_empty"](spark, SF_SMALL).collect()
+    n = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").count()
+    assert {r.n_queries for r in empty} == {n + 1} and {r.n_values for r in empty if r.metric in ("hit", "mrr")} == {n + 1}
+
+
 def test_fractional_gold_is_kept(spark):
     from quarry.operators import relevance
     results = spark.createDataFrame([("q", "a", 1), ("q", "b", 2)], "qid string, id string, rank int")
