@@ -55,6 +55,21 @@ def test_url_rules_and_models(spark):
     assert {r.url_verdict for r in urls.judge(df.where("page_id in (0, 4)"), rules).collect()} == {"allow"}
 
 
+def test_no_single_url_displaces_the_sample(spark):
+    def rows(texts, accepted):
+        return spark.createDataFrame([(t, accepted) for t in texts], "text string, accepted boolean")
+
+    first = F.xxhash64("text", F.lit(5))
+    good, bad = rows([f"good{i}.com/nice" for i in range(10, 100)], True), rows([f"bad{i}.net/spam" for i in range(40)], False)
+    hot = good.orderBy(first).limit(1).crossJoin(spark.range(200)).select("text", "accepted")
+    ratio, _ = urls.fit(good.unionByName(hot).unionByName(bad), sample_rows=20)
+    assert len(ratio.accepted.next[b"good"]) > 1
+    long = rows([f"good.com/{i}" + "x" * 5000 for i in range(3000)], True).orderBy(first).limit(1)
+    assert long.select(first).first()[0] < good.agg(F.min(first)).first()[0]
+    ratio, _ = urls.fit(good.unionByName(long).unionByName(bad), sample_bytes=4000)
+    assert len(ratio.accepted.next[b"good"]) > 1
+
+
 def test_byte_model_is_a_distribution_and_separates():
     good, bad = [b"good/%d/page" % i for i in range(50)], [b"spam/x%d/win" % i for i in range(50)]
     m = urls.ByteModel(good, 5)
