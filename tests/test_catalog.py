@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 

@@ -201,7 +201,7 @@ def test_run_keeps_every_method_and_query(spark):
 
 def test_registered_averages_count_queries_without_results(spark, tmp_path):
     from pyspark.sql import functions as F
-    from conftest import SF_SMALL
+    from sf_paths import SF_SMALL
     from quarry.plans import catalog
     v = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").limit(30)
     first = v.agg(F.min("vec_id")).first()[0]

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from quarry.operators import bm25, dense
 from quarry.plans.workspace import Workspace
 
