@@ -16,6 +16,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 HEAVY = 1000
 
 
+#: The only letters whose case is folded.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def column(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def ascii_lower(text: Column) -> Column:
+    """A-Z in lower case, all else unchanged; null counts as empty.  Texts of ASCII alone take the fast way."""
+    t = F.coalesce(text, F.lit(""))
+    return F.when(F.octet_length(t) == F.char_length(t), F.lower(t)).otherwise(F.translate(t, UPPER, LOWER))
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")

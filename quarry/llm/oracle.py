@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from quarry.llm.centroids import SCALE
+from quarry.llm.common import LOWER, UPPER
 from quarry.llm.licenses import CONTAINMENT, TEMPLATES
 from quarry.llm.quality import RULES, STOP_WORDS
 
@@ -21,6 +23,27 @@ _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 _TOKENS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}]+')"
 _NOTICES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
 
+
+
+def _rounds(k: int = 8, rounds: int = 10, width: int = 64) -> str:
+    """The assignment and the means of every round, one after another."""
+    near = """a{0} AS MATERIALIZED (
+  SELECT r, c, d FROM (
+    SELECT e.r, m.c, list_sum(list_transform(list_zip(e.v, m.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d,
+           row_number() OVER (PARTITION BY e.r ORDER BY d, m.c) AS n
+    FROM e CROSS JOIN m{0} m) WHERE n = 1)"""
+    mean = """s{0} AS (
+  SELECT c, i, sum(x)::HUGEINT AS t, count(*) AS n
+  FROM (SELECT a.c, unnest(e.v) AS x, unnest(generate_series(1, {1})) AS i FROM e JOIN a{0} a USING (r)) GROUP BY c, i),
+m{2} AS MATERIALIZED (
+  SELECT m.c, coalesce(g.v, m.v) AS v
+  FROM m{0} m LEFT JOIN (SELECT c, list(((t - ((t % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM s{0} GROUP BY c) g USING (c))"""
+    steps = [near.format(0)]
+    for i in range(rounds):
+        steps += [mean.format(i, width, i + 1), near.format(i + 1)]
+    return ",\n".join(steps)
+
+
 SQL: dict[str, str] = {
     "op1_license_scan": rf"""
 WITH t AS (SELECT license, {_TOKENS.format('notice')} AS w FROM (VALUES {_NOTICES}) AS v(license, notice)),
@@ -82,4 +105,21 @@ kept AS (
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
        sha256(CASE WHEN n IS NULL THEN array_to_string(w, ' ') ELSE coalesce(k, '') END) AS kept_sha256
 FROM w LEFT JOIN lists USING (r) LEFT JOIN kept USING (r)""",
+    "op11_filtered_kmeans": f"""
+WITH e AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+m0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, vec_id, v) - 1 AS c, v
+  FROM (SELECT vec_id, v, sha256('3:' || coalesce(vec_id::VARCHAR, '')) AS h FROM e ORDER BY h, vec_id, v LIMIT 8)),
+{_rounds()}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m10.v, ',')) AS centroid_sha256
+FROM a10 JOIN e USING (r) JOIN m10 USING (c)""",
+    "op12_digest_index": f"""
+WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS h FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+       row_number() OVER (PARTITION BY h ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, h AS text_sha256
+FROM t""",
 }

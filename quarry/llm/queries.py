@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, chat, licenses, lm, mixing, packing, quality, simhash, substring, urls
+from quarry.llm import ann, centroids, chat, digests, licenses, lm, mixing, packing, quality, resampling, simhash, substring, urls
+from quarry.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -104,3 +105,31 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.search(vectors, F.col("vec_id") % 20 == 0)
+
+
+@register
+def op11_filtered_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    text = F.array_join(F.transform("centroid", lambda c: c.cast("string")), ",")
+    return found.withColumn("centroid_sha256", F.sha2(text, 256)).drop("centroid")
+
+
+@register
+def op12_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents arrive in two deliveries, greater ids first, so that the row with the largest id stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = digests.digested(docs, keep=("doc_id",))
+    middle = rows.agg(F.expr("min(doc_id) div 2 + max(doc_id) div 2")).scalar()
+    batch = F.when(F.coalesce(F.col("doc_id") > middle, F.lit(False)), 1).otherwise(2)
+    index = digests.DigestIndex(spark, scratch_path(spark, "digests"), buckets=max(8, spark.sparkContext.defaultParallelism))
+    for b in (1, 2):
+        index.add(rows.where(batch == b), b)
+    return index.mark(rows, batch).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("dedup_digest")).alias("text_sha256"))
+
+
+@register
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resampling.resample(docs, table(spark, sf_dir, "benchmark").select("text"))
+    return drawn.select("doc_id", F.col("res_features").alias("n_features"), F.col("res_weight").alias("weight"),
+                        F.col("res_score").alias("score"), F.col("res_rank").alias("rank"))
