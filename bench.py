@@ -35,7 +35,7 @@ def main() -> None:
 
     t0 = time.time()
     ws.index()
-    ws.doc_vectors(catalog.HASH_DIM)
+    ws.doc_blocks(catalog.HASH_DIM)
     timings["index_build"] = round(time.time() - t0, 3)
 
     for name in HEADLINE:

@@ -45,6 +45,8 @@ class Bm25Index:
     corpus_stats: DataFrame
     params: Bm25Params
     id_col: str = "doc_id"
+    #: Posting lists by block of the same documents (``lexical_index.LexicalIndex``), if stored.
+    lists: object = None
 
     def write(self, path: str, buckets: int | None = None,
               already_bucketed: bool = False) -> "Bm25Index":
@@ -87,10 +89,6 @@ class Bm25Index:
                    params=params or Bm25Params(), id_col=id_col)
 
 
-def token_bucket(token: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(token)), F.lit(buckets)).cast("int")
-
-
 def default_text(corpus: DataFrame) -> Column:
     """``contents``, falling back to ``content`` when the corpus has both columns."""
     cols = set(corpus.columns)
@@ -207,19 +205,23 @@ def top_k_lexical(index: Bm25Index, queries: DataFrame, k: int = 100, qid_col: s
                   precision: int | None = SCORE_PRECISION) -> DataFrame:
     """(qid, doc_id, score, rank), rank from 1.
 
-    ``pad_unmatched``: when fewer than k documents share a token with a query,
+    With stored posting lists blocks are searched with score bounds; else every
+    posting of every query token is added up.  ``pad_unmatched``: when fewer than k documents share a token with a query,
     fill up with score-0 documents, lowest ids first (needs ``corpus_ids``).
     """
-    scored = scores(index, queries, qid_col, text_col)
+    if index.lists is not None:
+        ranked = index.lists.top_k(queries, k, qid_col, text_col, precision, index.term_stats)
+    else:
+        ranked = top_k_by_score(scores(index, queries, qid_col, text_col), k, qid_col, index.id_col, precision=precision)
     if not pad_unmatched:
-        return top_k_by_score(scored, k, qid_col, index.id_col, precision=precision)
+        return ranked
     if corpus_ids is None:
         raise ValueError("pad_unmatched needs corpus_ids")
     id_col = index.id_col
     # The first k ids of the corpus always hold enough unmatched documents.
     first_ids = (corpus_ids.select(id_col).orderBy(id_col).limit(k)
                            .agg(F.sort_array(F.collect_list(id_col))).scalar())
-    matched = top_k_by_score(scored, k, qid_col, id_col, precision=precision).drop("rank")
+    matched = ranked.drop("rank")
     # Padding is used only when fewer than k documents match, and then all of them
     # are in ``matched``: the anti-join needs only that bounded (Q x k) table.
     pads = (queries.select(qid_col, F.explode(first_ids).alias(id_col))

@@ -1,36 +1,38 @@
 """Exact dense (inner-product) retrieval and vector-table checks.
 
-Exhaustive search is a two-level top-k:
-
-1. The query vectors are measured; if they fit ``max_broadcast_bytes`` they are
-   broadcast once.  Larger query sets are split into hash blocks that each fit,
-   and the document table is scanned once per block - exact, just more passes.
-2. ``mapInPandas`` over the document vectors: per Arrow batch one matrix
-   product (n x d) @ (d x q), then a vectorized per-query top-k kept across
-   the batches of the task.  Each task emits at most k rows per query.
+Exhaustive search is a block join with a two-level top-k; neither side passes
+through the driver:
+
+1. Documents are dealt into hash blocks of at most ``BLOCK_BYTES`` on average,
+   queries likewise, and every pair of a document block and a query block is one
+   co-group.  ``store_blocks`` writes the document side dealt and bucketed by
+   block, so that searches of up to one query block read it without a shuffle;
+   a larger query set copies the documents once per further query block.
+2. A co-group is one matrix product (n x d) @ (d x q) over Arrow buffers, walked
+   in column chunks, and a vectorized top-k: at most k rows per query and block.
 3. A window ``row_number() <= k`` per query (partial limit before the shuffle).
 
 Order is (score rounded to ``precision``) descending, then id ascending - the
 same rule at every level, so the result equals a full sort.  No pair scores
-leave the task except the per-task top k.
+leave the task except the per-block top k.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.vectors import l2_norm, l2_normalize
 from quarry.operators.topk import SCORE_PRECISION, top_k_by_score
 
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+BLOCK_BYTES = 32 * 1024 * 1024
 MATRIX_BYTES = 64 * 1024 * 1024
+BLOCK = "_block"
 
 
 def normalize(df: DataFrame, vec_col: str = "embedding") -> DataFrame:
@@ -38,17 +40,6 @@ def normalize(df: DataFrame, vec_col: str = "embedding") -> DataFrame:
     return df.withColumn(vec_col, l2_normalize(vec_col))
 
 
-def _select_top(cols: np.ndarray, scores: np.ndarray, ids: np.ndarray, k: int):
-    """Keep, per query column index, the k best (score desc, id asc) entries."""
-    order = np.lexsort((ids, -scores, cols))
-    cols, scores, ids = cols[order], scores[order], ids[order]
-    starts = np.r_[0, np.flatnonzero(np.diff(cols)) + 1]
-    lengths = np.diff(np.r_[starts, len(cols)])
-    within = np.arange(len(cols)) - np.repeat(starts, lengths)
-    keep = within < k
-    return cols[keep], scores[keep], ids[keep]
-
-
 def _batch_top(S: np.ndarray, ids_sorted: np.ndarray, k: int):
     """Exact top-k per column of S (rows already sorted by id)."""
     n = S.shape[0]
@@ -62,80 +53,110 @@ def _batch_top(S: np.ndarray, ids_sorted: np.ndarray, k: int):
     return cols, S[rows, cols], ids_sorted[rows]
 
 
-def local_topk_fn(bc, k: int, id_col: str, vec_col: str, qid_col: str,
-                  precision: int | None, exclude_self: bool):
-    def run(batches):
-        qids, Q = bc.value
-        q_match = qids.astype(str) if qids.dtype == object else qids
-        acc_c, acc_s, acc_i = [], [], []
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            ids = pdf[id_col].to_numpy()
-            if ids.dtype == object:
-                ids = ids.astype(str)
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            D = np.vstack(pdf[vec_col].to_numpy()[order]).astype(np.float64, copy=False)
-            # score matrix bounded to ~MATRIX_BYTES: walk the queries in column chunks
-            step = max(1, MATRIX_BYTES // (8 * len(ids)))
-            for lo in range(0, len(qids), step):
-                S = D @ Q[lo:lo + step].T
-                if precision is not None:
-                    S = np.round(S, precision)
-                if exclude_self:
-                    S[ids[:, None] == q_match[None, lo:lo + step]] = -np.inf
-                c, s, i = _batch_top(S, ids, k)
-                acc_c.append(c + lo), acc_s.append(s), acc_i.append(i)
-            if sum(len(c) for c in acc_c) > 4 * k * len(qids):  # keep the running buffer small
-                c, s, i = _select_top(np.concatenate(acc_c), np.concatenate(acc_s),
-                                      np.concatenate(acc_i), k)
-                acc_c, acc_s, acc_i = [c], [s], [i]
-        if not acc_c:
-            return
-        c, s, i = _select_top(np.concatenate(acc_c), np.concatenate(acc_s),
-                              np.concatenate(acc_i), k)
-        finite = np.isfinite(s)
-        yield pd.DataFrame({qid_col: qids[c[finite]], id_col: i[finite], "score": s[finite]})
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """The rows of an array<double> column; all must have one length."""
+    arrays = column.combine_chunks()
+    values = arrays.flatten().to_numpy(zero_copy_only=False)
+    if len(values) % max(len(arrays), 1) or len(set(arrays.value_lengths().unique().to_pylist())) > 1:
+        raise ValueError("vectors of unequal length")
+    return values.reshape(len(arrays), -1)
+
+
+def _keys(column: pa.ChunkedArray) -> np.ndarray:
+    values = column.combine_chunks().to_numpy(zero_copy_only=False)
+    return values.astype(str) if values.dtype == object else values
+
+
+def block_topk_fn(k: int, id_col: str, vec_col: str, qid_col: str, precision: int | None,
+                  exclude_self: bool):
+    """Co-group function: the k best documents of one block for each query of one block."""
+    def run(docs: pa.Table, queries: pa.Table) -> pa.Table:
+        names = [qid_col, id_col, "score"]
+        kinds = [queries.schema.field(qid_col).type, docs.schema.field(id_col).type, pa.float64()]
+        if not docs.num_rows or not queries.num_rows:
+            return pa.table([pa.array([], t) for t in kinds], names=names)
+        ids, qids = _keys(docs.column(id_col)), _keys(queries.column(qid_col))
+        order = np.argsort(ids, kind="stable")
+        D, Q = _matrix(docs.column(vec_col))[order], _matrix(queries.column("_qv"))
+        if D.shape[1] != Q.shape[1]:
+            raise ValueError("documents and queries have vectors of unequal length")
+        found = []
+        # score matrix bounded to ~MATRIX_BYTES: walk the queries in column chunks
+        step = max(1, MATRIX_BYTES // (8 * len(ids)))
+        for lo in range(0, len(qids), step):
+            S = D @ Q[lo:lo + step].T
+            if precision is not None:
+                S = np.round(S, precision)
+            if exclude_self:
+                S[ids[order][:, None] == qids[None, lo:lo + step]] = -np.inf
+            c, scores, rows = _batch_top(S, order, k)
+            fine = np.isfinite(scores)
+            found.append((c[fine] + lo, rows[fine], scores[fine]))
+        c, rows, scores = (np.concatenate(x) for x in zip(*found))
+        return pa.table([queries.column(qid_col).take(pa.array(c)), docs.column(id_col).take(pa.array(rows)),
+                         pa.array(scores, pa.float64())], names=names)
     return run
 
 
+def _block_of(key: str, rows: Column, dim: Column | int, bytes_per_block: int, least: int = 1) -> Column:
+    n = F.greatest(F.ceil(rows * dim * 8 / bytes_per_block), F.lit(least)).cast("long")
+    return F.pmod(F.xxhash64(F.col(key)), n)
+
+
+def store_blocks(vectors: DataFrame, path: str, *, id_col: str = "doc_id", vec_col: str = "embedding",
+                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The vectors as a table dealt into hash blocks and bucketed by them; ``topk`` reads it without a shuffle.
+
+    Four blocks to a bucket and more, so that buckets come out even.
+    """
+    from quarry.sources import tables
+    buckets = tables.choose_buckets(vectors)
+    shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec_col)).alias("d"))
+    block = _block_of(id_col, shape.select("n").scalar(), F.coalesce(shape.select("d").scalar(), F.lit(1)),
+                      block_bytes, 4 * buckets)
+    dealt = vectors.select(F.col(id_col), F.col(vec_col).cast("array<double>").alias(vec_col), block.alias(BLOCK))
+    return tables.write_bucketed(dealt, path, BLOCK, buckets)
+
+
 def topk(doc_vectors: DataFrame, query_vectors: DataFrame, k: int = 100, *,
          id_col: str = "doc_id", qid_col: str = "qid", vec_col: str = "embedding",
          query_vec_col: str | None = None, precision: int | None = SCORE_PRECISION,
-         exclude_self: bool = False,
-         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+         exclude_self: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(qid, doc_id, score, rank): exact inner-product top k per query.
 
     Vectors are used as given (normalize both sides first for cosine).  Rows with
     a null vector are skipped.  Fewer than k rows when the table is smaller.
+    ``doc_vectors`` may be a table of ``store_blocks``.  Vectors of unequal
+    length raise ``ValueError``.
     """
     spark = doc_vectors.sparkSession
     qcol = query_vec_col or vec_col
     qv = query_vectors.where(F.col(qcol).isNotNull()).select(
         F.col(qid_col), F.col(qcol).cast("array<double>").alias("_qv"))
     shape = qv.agg(F.count(F.lit(1)).alias("q"), F.max(F.size("_qv")).alias("d")).first()
-    n_q, dim = int(shape["q"]), int(shape["d"] or 0)
-    docs = doc_vectors.where(F.col(vec_col).isNotNull()).select(
-        F.col(id_col), F.col(vec_col).cast("array<double>").alias(vec_col))
+    dim = max(int(shape["d"] or 0), 1)
+    q_blocks = max(1, math.ceil(int(shape["q"]) * dim * 8 / block_bytes))
+    if BLOCK in doc_vectors.columns:
+        docs = doc_vectors
+        last = docs.agg(F.coalesce(F.max(BLOCK), F.lit(-1))).scalar()
+    else:
+        least = spark.sparkContext.defaultParallelism
+        rows = doc_vectors.agg(F.count(F.lit(1))).scalar()
+        docs = doc_vectors.withColumn(BLOCK, _block_of(id_col, rows, dim, block_bytes, least))
+        last = F.greatest(F.ceil(rows * dim * 8 / block_bytes), F.lit(least)) - 1
+    docs = docs.where(F.col(vec_col).isNotNull()).select(
+        F.col(id_col), F.col(vec_col).cast("array<double>").alias(vec_col), BLOCK)
+    every = F.sequence(F.lit(0).cast("long"), last.cast("long"))
+    qv = qv.withColumn(BLOCK, F.explode(F.when(last >= 0, every)))
+    deal = [BLOCK]
+    if q_blocks > 1:
+        deal.append("_qblock")
+        docs = docs.withColumn("_qblock", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+        qv = qv.withColumn("_qblock", F.pmod(F.xxhash64(qid_col), F.lit(q_blocks)).cast("int"))
     out_schema = T.StructType([query_vectors.schema[qid_col], doc_vectors.schema[id_col],
                                T.StructField("score", T.DoubleType())])
-    if n_q == 0:
-        return spark.createDataFrame([], out_schema.add("rank", T.IntegerType()))
-    n_blocks = max(1, math.ceil(n_q * max(dim, 1) * 8 / max_broadcast_bytes))
-    parts = []
-    for b in range(n_blocks):
-        block = qv if n_blocks == 1 else qv.where(
-            F.pmod(F.xxhash64(qid_col), F.lit(n_blocks)) == b)
-        pdf = block.toPandas()  # bounded by max_broadcast_bytes
-        if pdf.empty:
-            continue
-        Q = np.vstack(pdf["_qv"].to_numpy()).astype(np.float64)
-        bc = spark.sparkContext.broadcast((pdf[qid_col].to_numpy(), Q))
-        parts.append(docs.mapInPandas(
-            local_topk_fn(bc, k, id_col, vec_col, qid_col, precision, exclude_self),
-            out_schema))
-    cand = reduce(DataFrame.unionByName, parts)
+    cand = docs.groupBy(*deal).cogroup(qv.groupBy(*deal)).applyInArrow(
+        block_topk_fn(k, id_col, vec_col, qid_col, precision, exclude_self), out_schema)
     return top_k_by_score(cand, k, qid_col, id_col, precision=precision)
 
 

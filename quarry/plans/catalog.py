@@ -1,7 +1,8 @@
 """Named queries over the driver's tables: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Every query reads whole tables and returns a DataFrame (no action on the
-result).  Doubles are rounded to 6 decimals in the final projection only, so
+Every query reads whole tables and returns a DataFrame.  Index builds,
+checkpoints and size probes run while a query is planned; the result itself is
+computed by the caller.  Doubles are rounded to 6 decimals in the final projection only, so
 that the DuckDB oracle (``plans.oracle``) can compare values exactly.
 """
 
@@ -16,6 +17,7 @@ from quarry.functions.text import clean_text, lexical_text, snippet, tokens
 from quarry.operators import bm25, dense, encode, fusion, metrics, relevance, report
 from quarry.operators import corpus as corpus_ops
 from quarry.operators import retrieve as retrieve_ops
+from quarry.operators.lexical_index import LexicalIndex
 from quarry.plans.workspace import Workspace
 from quarry.session import scratch_path
 from quarry.sources import fixtures as fx
@@ -99,6 +101,17 @@ def conversation_bm25(spark, sf_dir):
     return ranking_out(bm25.top_k_lexical(idx, fx.conversation_queries(spark, sf_dir), k=TOP_K))
 
 
+@register("bm25_appended")
+def bm25_appended(spark, sf_dir):
+    """Two thirds of the documents are indexed, the rest is appended, and the index opened again by its path."""
+    docs = fx.documents_corpus(spark, sf_dir)
+    late = F.coalesce(F.col("doc_id") % 3 == 0, F.lit(False))
+    path = scratch_path(spark, "appended_index")
+    LexicalIndex.build(docs.where(~late), path)
+    LexicalIndex.open(spark, path).append(docs.where(late))
+    return ranking_out(LexicalIndex.open(spark, path).top_k(fx.benchmark_queries(spark, sf_dir), k=TOP_K))
+
+
 @register("tokenize")
 def tokenize(spark, sf_dir):
     docs = fx.documents_corpus(spark, sf_dir)
@@ -183,6 +196,10 @@ def _doc_hash_vectors(spark, sf_dir, dim=HASH_DIM):
     return Workspace.of(spark, sf_dir).doc_vectors(dim)
 
 
+def _doc_hash_blocks(spark, sf_dir, dim=HASH_DIM):
+    return Workspace.of(spark, sf_dir).doc_blocks(dim)
+
+
 def _query_hash_vectors(spark, sf_dir, dim=HASH_DIM):
     return Workspace.of(spark, sf_dir).query_vectors(dim)
 
@@ -213,7 +230,7 @@ def hash_encode_q(spark, sf_dir):
 
 @register("dense_text_topk")
 def dense_text_topk(spark, sf_dir):
-    ranking = dense.topk(_doc_hash_vectors(spark, sf_dir), _query_hash_vectors(spark, sf_dir), k=TOP_K)
+    ranking = dense.topk(_doc_hash_blocks(spark, sf_dir), _query_hash_vectors(spark, sf_dir), k=TOP_K)
     return ranking_out(ranking)
 
 
@@ -247,7 +264,7 @@ def rrf3(spark, sf_dir):
     q = fx.benchmark_queries(spark, sf_dir)
     lists = [bm25.top_k_lexical(_doc_index(spark, sf_dir), q, k=DEPTH)]
     for dim in (HASH_DIM, SMALL_HASH_DIM):
-        lists.append(dense.topk(_doc_hash_vectors(spark, sf_dir, dim),
+        lists.append(dense.topk(_doc_hash_blocks(spark, sf_dir, dim),
                                 _query_hash_vectors(spark, sf_dir, dim), k=DEPTH))
     return ranking_out(fusion.rrf(lists, k=TOP_K))
 

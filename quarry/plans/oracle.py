@@ -61,6 +61,8 @@ SQL["bm25_topk"] = f"""WITH {BM25_INDEX},
 {topk_cte('ranked', 'bm25_scores', 20)}
 SELECT qid, doc_id, round(score, 6) AS score, rank::INTEGER AS rank FROM ranked"""
 
+SQL["bm25_appended"] = SQL["bm25_topk"]
+
 # ---------------------------------------------------------------- building blocks
 UNIFIED = """unified AS (
   SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'documents' AS source, split_part(text, chr(10), 1) AS title,
@@ -239,8 +241,12 @@ SQL["corpus_stats"] = f"""WITH {BM25_INDEX}
 SELECT n_docs, n_tokens::BIGINT AS n_tokens, round(avgdl, 6) AS avgdl, n_terms, round(avg_idf, 6) AS avg_idf
 FROM cstats, avg_idf"""
 
-SQL["term_idf"] = f"""WITH {BM25_INDEX}
-SELECT token, df, round(idf, 6) AS idf FROM term_stats"""
+# Its own short form: only tokens and their document frequencies, no postings.
+SQL["term_idf"] = f"""WITH t AS (
+  SELECT unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '{TOKEN_RE}'))) AS token FROM documents),
+f AS (SELECT token, count(*) AS df FROM t GROUP BY token),
+r AS (SELECT token, df, ln((SELECT count(*) FROM documents) - df + 0.5e0) - ln(df + 0.5e0) AS raw FROM f)
+SELECT token, df, round(CASE WHEN raw < 0 THEN 0.25e0 * (SELECT avg(raw) FROM r) ELSE raw END, 6) AS idf FROM r"""
 
 SQL["corpus_unify"] = f"""WITH {UNIFIED}
 SELECT doc_id, source, title, content, contents FROM unified"""

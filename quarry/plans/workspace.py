@@ -13,8 +13,9 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.operators import bm25, encode
+from quarry.operators import bm25, dense, encode
 from quarry.operators import retrieve as retrieve_ops
+from quarry.operators.lexical_index import LexicalIndex
 from quarry.session import ensure_checkpoint_dir, scratch_path
 from quarry.sources import fixtures as fx
 from quarry.sources import tables
@@ -24,11 +25,10 @@ _SPACES: dict = {}
 
 
 class Workspace:
-    def __init__(self, spark: SparkSession, sf_dir: str, reuse_rankings: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
         ensure_checkpoint_dir(spark)
-        self.reuse_rankings = reuse_rankings
         self._memo: dict = {}
 
     @classmethod
@@ -71,8 +71,11 @@ class Workspace:
     def index(self) -> bm25.Bm25Index:
         def build():
             path = scratch_path(self.spark, "bm25_index")
-            return bm25.build_index(self.corpus()).write(path, self.buckets(),
-                                                         already_bucketed=True)
+            index = bm25.build_index(self.corpus()).write(path, self.buckets(),
+                                                          already_bucketed=True)
+            index.lists = LexicalIndex.build(self.corpus(), scratch_path(self.spark, "lexical_index"),
+                                             postings=index.postings)
+            return index
         return self._get("index", build)
 
     def doc_vectors(self, dim: int = 128) -> DataFrame:
@@ -82,6 +85,11 @@ class Workspace:
                                          "doc_id", self.buckets(), already_bucketed=True)
         return self._get(("doc_vectors", dim), build)
 
+    def doc_blocks(self, dim: int = 128) -> DataFrame:
+        """The document vectors dealt into blocks, as ``dense.topk`` reads them without a shuffle."""
+        return self._get(("doc_blocks", dim), lambda: dense.store_blocks(
+            self.doc_vectors(dim), scratch_path(self.spark, f"doc_blocks_{dim}")))
+
     def query_vectors(self, dim: int = 128) -> DataFrame:
         return self._get(("query_vectors", dim), lambda: encode.hash_encode(
             self.queries(), "qid", "question", dim).checkpoint())
@@ -90,11 +98,9 @@ class Workspace:
     def ranking(self, method: str, k: int = 20, depth: int = 100) -> DataFrame:
         def build():
             r = retrieve_ops.retrieve(self.queries(), method=method, k=k, depth=depth,
-                                      bm25_index=self.index(), doc_vectors=self.doc_vectors(),
+                                      bm25_index=self.index(), doc_vectors=self.doc_blocks(),
                                       query_vectors=self.query_vectors())
             return r.checkpoint()
-        if not self.reuse_rankings:
-            return build()
         return self._get(("ranking", method, k, depth), build)
 
     def results(self, method: str, k: int = 20, depth: int = 100) -> DataFrame:

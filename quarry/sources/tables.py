@@ -31,7 +31,10 @@ def plan_bytes(df: DataFrame) -> int:
 def choose_buckets(df: DataFrame, minimum: int | None = None) -> int:
     spark = df.sparkSession
     floor = minimum or spark.sparkContext.defaultParallelism
-    return max(floor, math.ceil(plan_bytes(df) / TARGET_BUCKET_BYTES))
+    size = plan_bytes(df)
+    if size >= 1 << 62:  # Spark's stand-in for a size it does not know
+        return floor
+    return max(floor, math.ceil(size / TARGET_BUCKET_BYTES))
 
 
 def _ddl(df: DataFrame) -> str:
@@ -67,8 +70,3 @@ def register(spark: SparkSession, path: str) -> DataFrame:
                   f"CLUSTERED BY (`{meta['key']}`) SORTED BY (`{meta['key']}`) "
                   f"INTO {meta['buckets']} BUCKETS LOCATION '{path}/data'")
     return spark.table(name)
-
-
-def buckets_of(spark: SparkSession, path: str) -> int:
-    return int(json.loads(spark.read.json(f"{path}/meta").first()["meta"])["buckets"])
-

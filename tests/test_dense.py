@@ -45,14 +45,38 @@ def test_exact_topk_equals_brute_force(spark, vectors):
     assert got == brute(local, local, 10, exclude_self=True)
 
 
-def test_query_blocks_equal_single_broadcast(spark, vectors):
+def test_query_blocks_equal_a_single_block(spark, vectors):
     df, _ = vectors
     q = df.withColumnRenamed("doc_id", "qid")
     one = ranks(dense.topk(df, q, k=7))
-    many = ranks(dense.topk(df, q, k=7, max_broadcast_bytes=3000))
+    many = ranks(dense.topk(df, q, k=7, block_bytes=3000))
     assert one == many
 
 
+def test_stored_blocks_are_read_without_a_shuffle(spark, vectors, tmp_path):
+    df, local = vectors
+    q = df.withColumnRenamed("doc_id", "qid")
+    stored = dense.store_blocks(df, str(tmp_path / "blocks"))
+    found = dense.topk(stored, q, k=10, exclude_self=True)
+    assert ranks(found) == brute(local, local, 10, exclude_self=True)
+    assert ranks(dense.topk(stored, q, k=7, block_bytes=3000)) == ranks(dense.topk(df, q, k=7))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    documents, queries = plan.split("FlatMapCoGroupsInArrow")[1].split("Generate")[0], plan.split("Generate")[0]
+    assert "Bucketed: true" in documents and "BroadcastExchange" not in plan
+    assert "WindowGroupLimit" in queries
+
+
+def test_string_ids_nulls_and_unequal_lengths(spark):
+    docs = spark.createDataFrame([("é", [1.0, 0.0]), ("z", [1.0, 0.0]), ("a", None), ("b", [0.0, 2.0])], "doc_id string, embedding array<float>")
+    q = spark.createDataFrame([("z", [1.0, 0.0]), ("n", None)], "qid string, embedding array<double>")
+    got = [(r.qid, r.doc_id, r["rank"]) for r in dense.topk(docs, q, k=2).orderBy("rank").collect()]
+    assert got == [("z", "z", 1), ("z", "é", 2)]
+    assert [r.doc_id for r in dense.topk(docs, q, k=5, exclude_self=True).orderBy("rank").collect()] == ["é", "b"]
+    assert dense.topk(docs.where("false"), q, k=2).collect() == [] and dense.topk(docs, q.where("false"), k=2).collect() == []
+    with pytest.raises(Exception, match="unequal length"):
+        dense.topk(docs, q.withColumn("embedding", F.array(F.lit(1.0))), k=2).collect()
+
+
 def test_zero_vector_and_small_corpus(spark):
     docs = spark.createDataFrame([(1, [0.0, 0.0]), (2, [1.0, 0.0])], "doc_id long, embedding array<double>")
     q = spark.createDataFrame([("a", [0.0, 1.0])], "qid string, embedding array<double>")

@@ -41,4 +41,5 @@ def test_result_join_streams_corpus(ws):
 def test_dense_topk_two_level(ws):
     r = dense.topk(ws.doc_vectors(), ws.query_vectors(), k=5)
     p = plan(r)
-    assert "MapInPandas" in p and "WindowGroupLimit" in p
+    assert "FlatMapCoGroupsInArrow" in p and "WindowGroupLimit" in p
+    assert "Broadcast" not in p  # neither side passes through the driver
