@@ -35,13 +35,14 @@ from dataclasses import asdict
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.operators import bm25
 from quarry.operators.topk import SCORE_PRECISION, top_k_by_score
 from quarry.plans import sizing
+from quarry.session import materialize
 from quarry.sources import tables
 
 BLOCK_DOCS = 16_384
@@ -49,6 +50,8 @@ BLOCK_DOCS = 16_384
 SEGMENT = 1 << 32
 #: Above the rounding of scores and the error of their sums.
 MARGIN = 1e-5
+#: Up to so many postings of a query in a block are added up at once; bounds pay off above.
+DIRECT = 16_384
 #: With this many blocks and more, one in so many gives thresholds first.
 FIRST_PASS = 32
 
@@ -116,9 +119,9 @@ class LexicalIndex:
     def _extended(self, corpus: DataFrame, postings: DataFrame | None) -> "LexicalIndex":
         spark, number, name = self.spark, len(self.segments), uuid.uuid4().hex[:12]
         n, total_hash = _print(corpus, self.id_col)
-        least = 4 * spark.sparkContext.defaultParallelism
-        n_blocks = max(1, -(-n // BLOCK_DOCS), min(least, -(-n // 256)))
-        block = F.lit(number * SEGMENT).cast("long") + F.pmod(F.xxhash64(self.id_col), F.lit(n_blocks))
+        n_blocks = max(1, -(-n // BLOCK_DOCS), min(spark.sparkContext.defaultParallelism, -(-n // 256)))
+        blocks = _block_numbers(spark, number * SEGMENT, n_blocks, self.manifest["buckets"])
+        block = F.element_at(blocks, (F.pmod(F.xxhash64(self.id_col), F.lit(n_blocks)) + 1).cast("int"))
         if postings is None:
             toks = bm25.document_tokens(corpus, self.id_col).withColumn("block", block).repartition(self.manifest["buckets"], "block")
             rows = toks.select("block", self.id_col, F.size("tokens").alias("doc_len"), F.explode("tokens").alias("token"))
@@ -171,45 +174,50 @@ class LexicalIndex:
         terms = (term_stats or self.term_stats()).select("token", "idf").join(terms, "token")
         entry = F.struct("token", (F.col("qtf") * F.col("idf")).alias("weight"))
         packed = terms.groupBy(qid_col).agg(F.array_sort(F.collect_list(entry)).alias("e"))
-        return packed.select(qid_col, F.col("e.token").alias("tokens"), F.col("e.weight").alias("weights")).checkpoint()
+        return materialize(packed.select(qid_col, F.col("e.token").alias("tokens"), F.col("e.weight").alias("weights")), "terms")
 
     def top_k(self, queries: DataFrame, k: int = 100, qid_col: str = "qid", text_col: str = "question",
               precision: int | None = SCORE_PRECISION, term_stats: DataFrame | None = None,
-              first_pass: int = FIRST_PASS) -> DataFrame:
-        """(qid, doc_id, score, rank) of the k best documents that share a token with the query."""
+              first_pass: int = FIRST_PASS, direct: int = DIRECT) -> DataFrame:
+        """(qid, doc_id, score, rank) of the k best documents that share a token with the query.
+
+        ``first_pass`` and ``direct`` choose between equal ways; see the module's text.
+        """
         asked = self.weighted_terms(queries, qid_col, text_col, term_stats).withColumn("floor", F.lit(None).cast("double"))
         wanted = sizing.broadcast_if_small(asked.select(F.explode("tokens").alias("token")).distinct())
         lists = self.lists().drop("segment").join(wanted, "token", "left_semi")
-        order = (k, qid_col, self.id_col)
+        order, how = (k, qid_col, self.id_col), (precision, direct)
         if sum(s["n_blocks"] for s in self.segments) < first_pass:
-            return top_k_by_score(self._scored(lists, asked, 0, 1, *order, precision), *order, precision=precision)
-        first = top_k_by_score(self._scored(lists, asked, 0, first_pass, *order, precision), *order, precision=precision).checkpoint()
+            return top_k_by_score(self._scored(lists, asked, 0, 1, *order, *how), *order, precision=precision)
+        first = self._scored(lists, asked, 0, first_pass, *order, *how)
+        first = materialize(top_k_by_score(first, *order, precision=precision), "first_pass")
         floors = first.where(F.col("rank") == k).select(qid_col, F.col("score").alias("floor"))
-        rest = self._scored(lists, asked.drop("floor").join(floors, qid_col, "left"), 1, first_pass, *order, precision)
+        rest = self._scored(lists, asked.drop("floor").join(floors, qid_col, "left"), 1, first_pass, *order, *how)
         return top_k_by_score(first.drop("rank").unionByName(rest), *order, precision=precision)
 
     def _scored(self, lists: DataFrame, asked: DataFrame, keep: int, of: int, k: int, qid_col: str, id_col: str,
-                precision: int | None) -> DataFrame:
+                precision: int | None, direct: int) -> DataFrame:
         """The k best of each block: every ``of``-th block (``keep`` 0) or all others (``keep`` 1)."""
-        mine = F.pmod(F.col("block"), F.lit(of)) == 0
+        mine = F.pmod(F.xxhash64("block"), F.lit(of)) == 0
         mine = mine if keep == 0 else ~mine
-        blocks = F.concat(*[F.sequence(F.lit(i * SEGMENT).cast("long"), F.lit(i * SEGMENT + s["n_blocks"] - 1).cast("long"))
+        blocks = F.concat(*[_block_numbers(self.spark, i * SEGMENT, s["n_blocks"], self.manifest["buckets"])
                             for i, s in enumerate(self.segments)])
         sent = asked.withColumn("block", F.explode(blocks)).where(mine)
         schema = T.StructType([asked.schema[qid_col], T.StructField(id_col, lists.schema["ids"].dataType.elementType),
                                T.StructField("score", T.DoubleType())])
-        kernel = score_block(k, qid_col, id_col, self.params, self.average_length(), precision)
+        kernel = score_block(k, qid_col, id_col, self.params, self.average_length(), precision, direct)
         return lists.where(mine).groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(kernel, schema)
 
 
-def score_block(k: int, qid_col: str, id_col: str, params: bm25.Bm25Params, avgdl: float, precision: int | None):
+def score_block(k: int, qid_col: str, id_col: str, params: bm25.Bm25Params, avgdl: float, precision: int | None,
+                direct: int = DIRECT):
     """Co-group function: the k best documents of one block for each query."""
     def run(lists: pa.Table, queries: pa.Table) -> pa.Table:
         names = [qid_col, id_col, "score"]
         kinds = [queries.schema.field(qid_col).type, lists.schema.field("ids").type.value_type, pa.float64()]
         if not lists.num_rows or not queries.num_rows:
             return pa.table([pa.array([], t) for t in kinds], names=names)
-        block = _Block(lists, params, avgdl)
+        block = _Block(lists, params, avgdl, direct)
         found, which = [], []
         tokens = queries.column("tokens").combine_chunks()
         at = pc.index_in(tokens.flatten(), value_set=lists.column("token").combine_chunks()).fill_null(-1).to_numpy(zero_copy_only=False)
@@ -230,7 +238,8 @@ def score_block(k: int, qid_col: str, id_col: str, params: bm25.Bm25Params, avgd
 class _Block:
     """The posting lists of one block; documents are numbered in id order."""
 
-    def __init__(self, lists: pa.Table, params: bm25.Bm25Params, avgdl: float):
+    def __init__(self, lists: pa.Table, params: bm25.Bm25Params, avgdl: float, direct: int = DIRECT):
+        self.direct = direct
         column = lists.column("ids").combine_chunks()
         self.ends = np.r_[0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))]
         coded = column.flatten().dictionary_encode()
@@ -249,36 +258,54 @@ class _Block:
         return self.docs[lo:hi], self.part[lo:hi]
 
     def best(self, at: np.ndarray, weight: np.ndarray, k: int, floor: float, precision: int | None) -> tuple[np.ndarray, np.ndarray]:
+        if not len(at):
+            return np.zeros(0, np.int64), np.zeros(0)
+        prune = bool((weight > 0).all())
         bound = weight * self.most[at]
+        if prune and bound.sum() < floor - MARGIN:
+            return np.zeros(0, np.int64), np.zeros(0)
+        if (self.ends[at + 1] - self.ends[at]).sum() <= self.direct or not prune:
+            return self._all(at, weight, k, precision, prune)
         order = np.argsort(-bound, kind="stable")
         at, weight, bound = at[order], weight[order], bound[order]
         rest = np.r_[np.cumsum(bound[::-1])[::-1], 0.0]  # most that terms from i on can add
-        prune = bool((weight > 0).all())
-        if not len(at) or (prune and rest[0] < floor - MARGIN):
-            return np.zeros(0, np.int64), np.zeros(0)
-        score, seen, look = np.zeros(len(self.ids)), None if prune else np.zeros(len(self.ids), bool), 2
+        score, look = np.zeros(len(self.ids)), 2
         for i in range(len(at)):
-            if prune and i == look:
+            if i == look:
                 look *= 2
                 if k <= len(score):
                     floor = max(floor, np.partition(score, len(score) - k)[len(score) - k])
-            if prune and rest[i] < floor - MARGIN:
+            if rest[i] < floor - MARGIN:
                 docs = np.flatnonzero(score + rest[i] >= floor - MARGIN)
-                return self._finish(docs, score[docs], at[i:], weight[i:], k, precision)
+                return _first(docs, self._finish(docs, score, at[i:], weight[i:]), k, precision)
             docs, part = self.postings(at[i])
             score[docs] += weight[i] * part
             self.read += len(docs)
-            if seen is not None:
-                seen[docs] = True
-        docs = np.flatnonzero(score > 0 if prune else seen)
+        docs = np.flatnonzero(score)
         return _first(docs, score[docs], k, precision)
 
-    def _finish(self, docs: np.ndarray, score: np.ndarray, at: np.ndarray, weight: np.ndarray, k: int, precision: int | None):
+    def _all(self, at: np.ndarray, weight: np.ndarray, k: int, precision: int | None, positive: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Every posting added up; a document can match with a score of zero unless all weights are positive."""
+        spans = [slice(a, b) for a, b in zip(self.ends[at].tolist(), self.ends[at + 1].tolist())]
+        docs = np.concatenate([self.docs[s] for s in spans])
+        part = np.concatenate([self.part[s] for s in spans]) * np.repeat(weight, self.ends[at + 1] - self.ends[at])
+        score = np.bincount(docs, part, len(self.ids))
+        self.read += len(docs)
+        found = np.flatnonzero(score) if positive else np.unique(docs)
+        return _first(found, score[found], k, precision)
+
+    def _finish(self, docs: np.ndarray, score: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Full scores of ``docs``: their postings of the terms left, looked up where lists are long."""
+        more = np.zeros(len(docs))
         for i, w in zip(at, weight):
             own, part = self.postings(i)
-            where = np.minimum(np.searchsorted(own, docs), len(own) - 1)
-            score = score + np.where(own[where] == docs, w * part[where], 0.0)
-        return _first(docs, score, k, precision)
+            if len(own) <= 8 * len(docs):
+                score[own] += w * part
+                self.read += len(own)
+            else:
+                where = np.minimum(np.searchsorted(own, docs), len(own) - 1)
+                more += np.where(own[where] == docs, w * part[where], 0.0)
+        return score[docs] + more
 
 
 def _first(docs: np.ndarray, score: np.ndarray, k: int, precision: int | None) -> tuple[np.ndarray, np.ndarray]:
@@ -292,6 +319,20 @@ def _first(docs: np.ndarray, score: np.ndarray, k: int, precision: int | None) -
     return docs, score
 
 
+def _block_numbers(spark: SparkSession, start: int, n: int, buckets: int) -> Column:
+    """The ``n`` numbers of a segment's blocks, as a constant array.
+
+    Up to four blocks a bucket are numbered so that every bucket gets its share;
+    more blocks are even enough as they come.
+    """
+    if n > 4 * buckets:
+        return F.sequence(F.lit(start).cast("long"), F.lit(start + n - 1).cast("long"))
+    candidates = spark.range(start, start + 64 * max(n, buckets)).select("id", F.pmod(F.hash("id"), F.lit(buckets)).alias("b"))
+    turn = F.row_number().over(Window.partitionBy("b").orderBy("id"))
+    chosen = candidates.withColumn("turn", turn).orderBy("turn", "b").limit(n).collect()
+    return F.array(*[F.lit(r["id"]).cast("long") for r in chosen])
+
+
 # ---------------------------------------------------------------------- manifest files
 def _print(corpus: DataFrame, id_col: str) -> list[int]:
     text = bm25.default_text(corpus)

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -65,6 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back.
+
+    Unlike ``checkpoint`` the plan runs once, and readers take single columns.
+    """
+    path = f"{scratch_path(df.sparkSession, name)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)

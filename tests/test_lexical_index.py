@@ -43,12 +43,12 @@ def expected(corpus, queries):
     return {k: ranked(bm25.top_k_lexical(plain, queries, k=k)) for k in (3, 40)}
 
 
-@pytest.mark.parametrize("first_pass", [2, 3, 10_000])
-def test_bounded_search_equals_full_scores(corpus, queries, expected, tmp_path, first_pass):
+@pytest.mark.parametrize("first_pass,direct", [(2, 0), (3, 200), (10_000, 0), (10_000, 1 << 20)])
+def test_bounded_search_equals_full_scores(corpus, queries, expected, tmp_path, first_pass, direct):
     index = LexicalIndex.build(corpus, str(tmp_path / "i"))
     assert sum(s["n_blocks"] for s in index.segments) >= 4
     for k, want in expected.items():
-        assert ranked(index.top_k(queries, k=k, first_pass=first_pass)) == want
+        assert ranked(index.top_k(queries, k=k, first_pass=first_pass, direct=direct)) == want
 
 
 def test_append_equals_one_build_and_old_versions_stay(spark, corpus, queries, expected, tmp_path):
@@ -104,7 +104,7 @@ def test_empty_corpus_and_string_ids(spark, queries, tmp_path):
 
 
 def test_bounds_skip_frequent_postings():
-    rng, n = np.random.default_rng(3), 5000
+    rng, n = np.random.default_rng(3), 50_000
     lists = {"common": np.arange(n), "half": np.arange(0, n, 2), "rare": rng.choice(n, 60, replace=False)}
     table = pa.table({"ids": [np.sort(v).tolist() for v in lists.values()],
                       "tf": [[1] * len(v) for v in lists.values()], "len": [[50] * len(v) for v in lists.values()]})
