@@ -11,14 +11,16 @@ both classes' accuracies.
 The URLs that rules judge are the labels.  The models are fitted on a bounded
 sample of them: at most ``sample_rows`` URLs and ``sample_bytes`` bytes of each
 class, those with the least hashes; so the models are of bounded size.  A URL
-counts once, however many rows have it, with its first ``URL_BYTES`` bytes at
-most, so no single URL can fill the sample or shut others out.
-
-Null URLs and those without ``://`` have an empty host and path and are
-blocked, as is anything without host and path.  If a class has no labelled URL,
-the other class's verdict holds; without any label all are allowed.  Repeated
-rows are judged alike.  Extra columns pass through ``judge``; names starting
-with ``url_`` are reserved.
+counts once, however many rows have it, and whole; those above a hundredth of
+the sample's bytes come last, so no single URL can fill it or shut others out.
+Every URL is scored over its whole length, however long.
+
+Null URLs and those without ``://`` have an empty host and path; their score is
+0, and like any other URL without a rule they are allowed above the threshold.
+If a class has no labelled URL, the other class's verdict holds; without any
+label all are allowed.  Repeated rows are judged alike.  Extra columns pass
+through ``judge`` under any name but those starting with ``url_``, which raise
+``ValueError``.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,13 +33,16 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quarry.llm.common import LOWER, UPPER, column
 
 ORDER = 5
 SAMPLE_ROWS = 20_000
 SAMPLE_BYTES = 2_000_000
-URL_BYTES = 2_000
+#: URLs above 1/LONG_URL of the sample's bytes come last in it: whole, as far as its bytes allow.
+LONG_URL = 100
 HELD_OUT = 5
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -114,19 +119,19 @@ def threshold(scores: Sequence[float], accepted: Sequence[bool]) -> float:
 def fit(labelled: DataFrame, order: int = ORDER, sample_rows: int = SAMPLE_ROWS,
         sample_bytes: int = SAMPLE_BYTES) -> tuple[Ratio, float] | bool:
     """Models and threshold from ``labelled(text, accepted)``; or the one verdict that labels know."""
-    most = min(URL_BYTES, sample_bytes)
     once = labelled.where("text <> ''").select("text", "accepted").distinct()
-    ranked = once.withColumn("h", F.xxhash64("text", F.lit(5)))
+    ranked = once.withColumn("h", F.xxhash64("text", F.lit(5))).withColumn("long", F.octet_length("text") > sample_bytes // LONG_URL)
+    order_by = Window.orderBy("long", "h", "text")
     got = []
     for side in (True, False):
-        some = ranked.where(F.col("accepted") == side).orderBy("h", "text").limit(sample_rows)
-        size = F.sum(F.least(F.octet_length("text"), F.lit(most))).over(Window.orderBy("h", "text").rowsBetween(Window.unboundedPreceding, 0))
-        got += some.withColumn("size", size).where(F.col("size") <= sample_bytes).select(
-            F.substring("text", 1, most).alias("text"), "accepted", "h").collect()
+        some = ranked.where(F.col("accepted") == side).orderBy("long", "h", "text").limit(sample_rows)
+        size = F.sum(F.octet_length("text")).over(order_by.rowsBetween(Window.unboundedPreceding, 0))
+        some = some.withColumn("size", size).withColumn("n", F.row_number().over(order_by))
+        got += some.where((F.col("size") <= sample_bytes) | (F.col("n") == 1)).select("text", "accepted", "h").collect()
     sides = {r.accepted for r in got}
     if len(sides) < 2:
         return next(iter(sides), True)
-    texts = [(r.text.encode()[:most], r.accepted, r.h % HELD_OUT == 0) for r in got]
+    texts = [(r.text.encode(), r.accepted, r.h % HELD_OUT == 0) for r in got]
     models = [ByteModel([t for t, a, held in texts if a == side and not held] or [t for t, a, _ in texts if a == side], order)
               for side in (True, False)]
     ratio = Ratio(*models)
@@ -141,18 +146,21 @@ def judge(df: DataFrame, rules: Sequence[tuple[str, str]], url: str = "url", ord
     ``rules``: pairs of ``allow`` or ``block`` and ``host/path``.  ``url_score``
     is null where a rule decides.
     """
-    host, path = host_and_path(F.col(url))
-    parts = df.withColumns({"url_host": host, "url_path": path})
+    clash = [c for c in df.columns if c.lower().startswith("url_")]
+    if clash:
+        raise ValueError(f"columns {clash} have names the operator needs")
+    host, path = host_and_path(column(url))
+    parts = df.select(F.struct(*[column(c) for c in df.columns]).alias("own"), host.alias("url_host"), path.alias("url_path"))
     ruled = parts.withColumn("url_rule", rule_of(F.col("url_host"), F.col("url_path"), rules))
     allows = [r for v, r in rules if v == "allow"]
     labels = ruled.where("url_rule IS NOT NULL").select(
         F.concat("url_host", "url_path").alias("text"), F.col("url_rule").isin(*allows).alias("accepted"))
     model = fit(labels, order, sample_rows, sample_bytes)
     by_rule = F.when(F.col("url_rule").isin(*allows), "allow").when(F.col("url_rule").isNotNull(), "block")
-    empty = (F.col("url_host") == "") & (F.col("url_path") == "")
+    names = [F.col("own")[c].alias(c) for c in df.columns] + [F.col(c) for c in ("url_host", "url_path", "url_rule", "url_score", "url_verdict")]
     if isinstance(model, bool):
-        return ruled.withColumn("url_score", F.lit(None).cast("double")).withColumn("url_verdict", F.coalesce(
-            by_rule, F.when(empty, "block").otherwise("allow" if model else "block")))
+        scored = ruled.withColumn("url_score", F.lit(None).cast("double"))
+        return scored.withColumn("url_verdict", F.coalesce(by_rule, F.lit("allow" if model else "block"))).select(*names)
     ratio, least = model
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +172,7 @@ def judge(df: DataFrame, rules: Sequence[tuple[str, str]], url: str = "url", ord
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), scores], [*rest, "url_score"])
 
     text = F.when(F.col("url_rule").isNull(), F.concat("url_host", "url_path"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ruled.schema.fields)
-    scored = ruled.withColumn("url_text", text).mapInArrow(score, f"{kinds}, url_score double")
-    return scored.withColumn("url_verdict", F.coalesce(by_rule, F.when(empty, "block").when(
-        F.col("url_score") > least, "allow").otherwise("block")))
+    kinds = T.StructType([*ruled.schema.fields, T.StructField("url_score", T.DoubleType())])
+    scored = ruled.withColumn("url_text", text).mapInArrow(score, kinds)
+    by_model = F.when(F.col("url_score") > least, "allow").otherwise("block")
+    return scored.withColumn("url_verdict", F.coalesce(by_rule, by_model)).select(*names)

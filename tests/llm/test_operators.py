@@ -48,9 +48,10 @@ def test_url_rules_and_models(spark):
     got = {r.page_id: r for r in urls.judge(df, rules).collect()}
     assert [got[i].url_rule for i in range(4)] == ["com/", "example.com/en/", "www.example.com/en/", "net/es/"]
     assert [got[i].url_verdict for i in range(4)] == ["allow", "block", "allow", "block"]
-    assert (got[5].url_host, got[5].url_path, got[6].url_host, got[6].url_verdict) == ("", "", "", "block")
+    assert (got[5].url_host, got[5].url_path, got[6].url_host, got[6].url_verdict) == ("", "", "", got[5].url_verdict)
     assert (got[7].url_rule, got[8].url_rule, got[9].url_rule, got[10].url_rule) == (None, None, None, "com/")
     assert got[4].url_score is not None and got[0].url_score is None
+    assert got[5].url_score == got[6].url_score == 0.0  # judged by the model like any other
     assert urls.judge(df.where("false"), rules).count() == 0
     assert {r.url_verdict for r in urls.judge(df.where("page_id in (0, 4)"), rules).collect()} == {"allow"}
 
@@ -171,7 +172,7 @@ def test_chat_round_trip(spark):
     rows += [(2, 0, "system", "alone"), (None, 3, None, None), (3, 0, "assistant", ""), (3, 0, "assistant", "tie"), (3, 0, "assistant", "tie"),
              (4, 0, "user", "long " * 900), (4, 1, "assistant", "answer")]
     df = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, window string")
-    made = chat.windows(df, budget=160, history=40)
+    made = chat.windows(df, budget=400, history=100)
     turns, learned = defaultdict(list), defaultdict(str)
     for r in chat.read_back(made).orderBy("window").collect():
         turns[r.conv_id] += [(t.role, t.text) for t in r.turns]
@@ -181,11 +182,28 @@ def test_chat_round_trip(spark):
         want[c].append((role or "", t or ""))
     assert turns == want
     assert all(learned[c] == "".join(t for role, t in v if role == "assistant") for c, v in want.items())
+    for r in made.collect():
+        new = r.n_turns - r.n_repeated
+        assert r.tokens <= 400 or (r.n_repeated <= 1 and new <= 2)
     first = made.where("conv_id = 1").collect()
     assert len(first) > 3 and all(r.formatted.startswith(chat.START + "system") for r in first) and any(r.n_repeated > 1 for r in first)
     assert chat.windows(df.where("false")).count() == 0
 
 
+def test_chat_budget_counts_texts_without_spaces_and_long_system_turns(spark):
+    rows = [(1, 0, "system", "s " * 300)] + [(1, i, "user", "hello there " * 20) for i in range(1, 20)]
+    rows += [(2, i, ("user", "assistant")[i % 2], "\u4e2d\u6587" * 1500) for i in range(40)]
+    rows += [(3, 0, "system", "s " * 200)] + [(3, i, ("user", "assistant")[i % 2], "w " * (30 * i)) for i in range(1, 15)]
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    for r in made:
+        assert r.tokens <= chat.BUDGET or r.n_turns - r.n_repeated == 1 or (r.conv_id == 3 and r.n_turns <= 2)
+    assert len([r for r in made if r.conv_id == 2]) == 40 and max(len(r.formatted) for r in made) < 4000
+    assert not any(r.formatted.startswith(chat.START + "system") for r in made if r.conv_id == 1 and r.window > 1)
+    assert all(r.formatted.startswith(chat.START + "system") for r in made if r.conv_id == 3)
+    with pytest.raises(ValueError):
+        chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), budget=100, history=60)
+
+
 def test_scores_equal_a_plain_trie(docs, empty):
     train = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 10 != 0
     order = 3
