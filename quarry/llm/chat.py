@@ -5,17 +5,21 @@ of this and other public templates inside roles and texts are escaped with a
 backslash after their first character, backslashes are doubled; ``unescape``
 restores the text.
 
-Windows: a turn costs its words and ``MARKS``.  A conversation's first turn, if
-it is of the system and not alone, opens every window.  The prefix sums of the
-other turns' costs are cut every half of what is left of the budget beside the
-system turn and the history; a turn is in the window where it starts.  So a
-window stays in the budget but for a turn that alone is above half of it, which
-gets its own window.  Before a window's own turns come those before them that
-fit ``history`` tokens, without loss: the loss mask covers each assistant text
-once, where it is new.
+Windows: a turn costs ``MARKS`` and its words or a quarter of its bytes, what is
+more, so that texts without spaces cost what they hold.  A conversation's first
+turn, if it is of the system, not alone and at most half the budget, opens every
+window; a longer one is a turn like others.  The prefix sums of the other turns'
+costs are cut every half of what is left of the budget beside the system turn
+and the history; a turn is in the window where it starts.  A turn above that
+half gets a window of its own.  Before a window's own turns come those before
+them that fit ``history`` tokens and the budget, without loss: the loss mask
+covers each assistant text once, where it is new.  So only a turn that does not
+fit beside the system turn makes a window above the budget, and stands there
+without history.
 
 Prefix sums and history are window functions over a conversation (streamed and
-spilled by Spark); rows are collected per window only, so by the budget.
+spilled by Spark); rows are collected per window only, so by the budget and the
+longest turn.  Texts are formatted whole, however long.
 
 Null text and role are empty.  Turns of equal number go by role, then text.  A
 null conversation id is one conversation.  Repeated rows are turns of their own.
@@ -61,18 +65,25 @@ def windows(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: s
     rows = df.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"),
                      F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
                      F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("cost", (F.regexp_count("text", F.lit(WORD)) + MARKS).cast("long"))
+    if 4 * history > budget:
+        raise ValueError("history takes at most a quarter of the budget")
+    size = F.greatest(F.regexp_count("text", F.lit(WORD)), F.ceil(F.octet_length("text") / 4))
+    rows = rows.withColumn("cost", (size + MARKS).cast("long"))
     conv = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = rows.withColumn("n", F.row_number().over(conv)).withColumn("more", F.lead("cost").over(conv).isNotNull())
-    rows = rows.withColumn("opens", (F.col("n") == 1) & (F.col("role") == "system") & F.col("more"))
+    rows = rows.withColumn("opens", (F.col("n") == 1) & (F.col("role") == "system") & F.col("more") & (F.col("cost") <= budget // 2))
     turn_of = F.struct("n", F.col("role").alias("role"), F.col("text").alias("text"), F.col("cost").alias("cost"))
     order = Window.partitionBy("conv_id").orderBy("n")
     rows = rows.withColumn("system", F.first(F.when(F.col("opens"), turn_of)).over(order))
     rows = rows.where("NOT opens").withColumn("end", F.sum("cost").over(order)).withColumn("begin", F.col("end") - F.col("cost"))
     by_cost = Window.partitionBy("conv_id").orderBy("begin").rangeBetween(-history, -1)
-    rows = rows.withColumn("before", F.collect_list(turn_of).over(by_cost))
+    rows = rows.withColumn("past", F.collect_list(F.struct("begin", turn_of.alias("t"))).over(by_cost))
     room = F.lit(budget - history) - F.coalesce(F.col("system.cost"), F.lit(0))
-    step = F.greatest(F.lit(budget // 8), F.floor(room / 2)).cast("long")
+    step = F.greatest(F.lit(1), F.floor(room / 2)).cast("long")
+    # History beside a turn in a window of its own is what the budget leaves.
+    from_ = F.when(F.col("cost") > step, F.col("begin") - (room + history - F.col("cost"))).otherwise(F.col("begin") - history)
+    rows = rows.withColumn("from", from_).withColumn("before", F.transform(
+        F.filter("past", lambda x: x["begin"] >= F.col("from")), lambda x: x["t"])).drop("past")
     cell = F.floor(F.col("begin") / step) * 2
     rows = rows.withColumn("window", F.when(F.col("cost") > step, cell + 1).otherwise(cell).cast("long"))
     got = rows.groupBy("conv_id", "window").agg(
