@@ -5,19 +5,17 @@ from __future__ import annotations
 from quarry.llm.centroids import SCALE
 from quarry.llm.common import LOWER, UPPER
 from quarry.llm.licenses import CONTAINMENT, TEMPLATES
-from quarry.llm.quality import RULES, STOP_WORDS
+from quarry.llm.quality import COVERED, RULES, STOP_WORDS
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 
 def _verdict() -> str:
-    out = []
-    for _, measure, least, most, from_words in RULES:
-        holds = " AND ".join([f"{measure} >= {least}"] * (least is not None) + [f"{measure} <= {most}"] * (most is not None))
-        out.append(f"(n_words < {from_words} OR ({holds}))" if from_words else f"({holds})")
-    return " AND ".join(out)
+    sides = [(measure, op, value) for _, measure, least, most in RULES for op, value in ((">=", least), ("<=", most)) if value is not None]
+    return " AND ".join(f"{measure} {op} {value}" for measure, op, value in sides)
 
 
+_COVERED = ", ".join(f"'{x}'" for x in COVERED)
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 _TOKENS = r"regexp_extract_all(lower(coalesce({0}, '')), '[\p{{L}}\p{{N}}]+')"
@@ -61,7 +59,7 @@ SELECT doc_id, license, max(c) AS containment, count(DISTINCT start) AS n_window
 FROM found WHERE c >= {CONTAINMENT} GROUP BY doc_id, license""",
     "op4_quality_rules": rf"""
 WITH w AS (
-  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, {_WORDS} AS w,
+  SELECT doc_id, lang, row_number() OVER () AS r, coalesce(text, '') AS t, {_WORDS} AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 grams AS (
@@ -72,7 +70,7 @@ starts AS (
   FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM grams) WHERE c > 1),
 repeats AS (SELECT r, sum(least(5, coalesce(nxt - i, 5))) AS n FROM starts GROUP BY r),
 c AS (
-  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  SELECT doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines,
          coalesce(n, 0)::BIGINT AS n_repeat_words,
@@ -82,7 +80,8 @@ c AS (
 m AS (
   SELECT *, CASE WHEN n_words > 0 THEN word_chars::DOUBLE / n_words ELSE 0 END AS mean_word_chars,
          CASE WHEN word_chars > 0 THEN n_symbols::DOUBLE / word_chars ELSE 0 END AS symbol_ratio,
-         CASE WHEN n_words > 0 THEN n_stop_words::DOUBLE / n_words ELSE 0 END AS stop_word_ratio,
+         CASE WHEN n_words > 0 AND coalesce(lang IN ({_COVERED}), true) THEN (n_stop_words + 1)::DOUBLE / n_words
+              ELSE 1 END AS stop_word_ratio,
          CASE WHEN n_lines > 0 THEN n_dup_lines::DOUBLE / n_lines ELSE 0 END AS dup_line_ratio,
          n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
   FROM c)

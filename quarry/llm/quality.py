@@ -4,8 +4,13 @@
 names, into Spark expressions, so the whole filter is a scan and a projection:
 no user functions, no shuffle.
 
+The rule on function words holds for texts in a language that ``STOP_WORDS``
+covers, as the ``lang`` column says (null, or no such column: covered), and one
+word is always granted, so that very short texts without one stay.
+
 Nulls and empty texts have no words: all measures are 0, ratios are 0, and the
-base rule (too few words) rejects them.  Repeated rows and ids are judged row
+base rule (too few words) rejects them.  Whole texts are judged, however long.
+An empty table gives an empty result.  Repeated rows and ids are judged row
 by row.  Extra columns pass through; a column named like a measure makes
 ``judge`` raise, so use ``prefix`` then.
 """
@@ -15,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import words
+from quarry.llm.common import column, words
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
@@ -30,14 +35,16 @@ STOP_WORDS = (
     "der die das und den von zu mit sich des auf für ist im dem nicht ein eine als auch"
 ).split()
 
-#: (rule, measure, least, most, words): kept if least <= measure <= most; None is open.
-#: A rule holds for texts of at least so many words: ratios of a few words say little.
+#: Languages of ``STOP_WORDS``.
+COVERED = ("en", "fr", "es", "de")
+
+#: (rule, measure, least, most): kept if least <= measure <= most; None is open.
 RULES = (
-    ("mean_word_chars", "mean_word_chars", 1.5, 20.0, 0),
-    ("symbol_ratio", "symbol_ratio", None, 0.05, 0),
-    ("stop_word_ratio", "stop_word_ratio", 0.02, None, 50),
-    ("dup_line_ratio", "dup_line_ratio", None, 0.35, 0),
-    ("longest_word", "longest_word_chars", None, 1000, 0),
+    ("mean_word_chars", "mean_word_chars", 1.5, 20.0),
+    ("symbol_ratio", "symbol_ratio", None, 0.05),
+    ("stop_word_ratio", "stop_word_ratio", 0.02, None),
+    ("dup_line_ratio", "dup_line_ratio", None, 0.35),
+    ("longest_word", "longest_word_chars", None, 1000),
 )
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MEASURES = (*COUNTS, "n_lines", "n_stop_words", "longest_word_chars",
@@ -73,8 +80,9 @@ def repeat_words(w: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(w) >= window, some).otherwise(0).cast("long")
 
 
-def judgement(text: Column, rules=RULES) -> Column:
+def judgement(text: Column, rules=RULES, lang: Column | None = None) -> Column:
     """A struct of all measures, ``base_failed`` and ``kept``, each computed once."""
+    covered = F.lit(True) if lang is None else F.coalesce(lang.isin(*COVERED), F.lit(True))
     t = F.coalesce(text, F.lit(""))
 
     def counts(w: Column, lines: Column) -> Column:
@@ -93,7 +101,7 @@ def judgement(text: Column, rules=RULES) -> Column:
         return F.struct(*[c[n].alias(n) for n in (*COUNTS, "n_lines", "n_stop_words", "longest_word_chars")],
                         ratio("word_chars", "n_words").alias("mean_word_chars"),
                         ratio("n_symbols", "word_chars").alias("symbol_ratio"),
-                        ratio("n_stop_words", "n_words").alias("stop_word_ratio"),
+                        F.when(covered & (c["n_words"] > 0), (c["n_stop_words"] + 1) / c["n_words"]).otherwise(1.0).alias("stop_word_ratio"),
                         ratio("n_dup_lines", "n_lines").alias("dup_line_ratio"))
 
     def judged(m: Column) -> Column:
@@ -108,21 +116,20 @@ def judgement(text: Column, rules=RULES) -> Column:
 def verdict(m: Column, rules=RULES) -> Column:
     """The conjunction of all thresholds on a struct of measures."""
     out = F.lit(True)
-    for _, measure, least, most, from_words in rules:
-        holds = F.lit(True)
+    for _, measure, least, most in rules:
         if least is not None:
-            holds = holds & (m[measure] >= least)
+            out = out & (m[measure] >= least)
         if most is not None:
-            holds = holds & (m[measure] <= most)
-        out = out & ((m["n_words"] < from_words) | holds if from_words else holds)
+            out = out & (m[measure] <= most)
     return out
 
 
-def judge(df: DataFrame, text: str = "text", rules=RULES, prefix: str = "") -> DataFrame:
-    """All rows with measures, ``base_failed`` and ``kept`` (names after ``prefix``)."""
+def judge(df: DataFrame, text: str = "text", rules=RULES, prefix: str = "", lang: str | None = None) -> DataFrame:
+    """All rows with measures, ``base_failed`` and ``kept`` (names after ``prefix``); ``lang``: a column of language codes."""
     names = [prefix + n for n in (*MEASURES, "base_failed", "kept", "judgement")]
     if clash := sorted({*names} & {*df.columns}):
         raise ValueError(f"columns clash with measures, give a prefix: {clash}")
     whole = F.col(names[-1])
-    return df.withColumn(names[-1], judgement(F.col(text), rules)).select(
-        *[F.col(f"`{c}`") for c in df.columns], *[whole[n[len(prefix):]].alias(n) for n in names[:-1]])
+    made = judgement(column(text), rules, None if lang is None else column(lang))
+    return df.withColumn(names[-1], made).select(
+        *[column(c) for c in df.columns], *[whole[n[len(prefix):]].alias(n) for n in names[:-1]])

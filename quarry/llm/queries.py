@@ -50,8 +50,8 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.judge(docs).select("doc_id", *quality.COUNTS, "base_failed", "kept")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.judge(docs, lang="lang").select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
 @register
