@@ -8,12 +8,17 @@ aligned); a new bin opens if none holds the piece.
 
 Tokenizing and packing run in one pass: a task packs its own documents, a
 group of at most ``group_tokens`` tokens at a time, so no text and no token is
-shuffled, memory is bounded by the group, and the loss against one global
-packing is a part of a bin per group.  A lost task gives the same bins again.
-
-Null and empty texts are the end token alone.  Rows that repeat an id are
-packed each on its own.  Empty tables give no sequence.  Other columns named in
-``keep`` pass through; names starting with ``pack_`` are reserved.
+shuffled and memory is bounded by the group.  A lost task gives the same bins
+again.  The pieces are written once in the shared folder.  What every group
+leaves in bins with room is then packed once more: only place and length of
+their pieces are shuffled, many bins to a task, and their sequences are numbered
+anew (below zero).  So the number of sequences hardly depends on how the input
+is dealt.
+
+Null and empty texts are the end token alone.  Texts are tokenized whole,
+however long.  Rows that repeat an id are packed each on its own.  Empty tables
+give no sequence.  Other columns named in ``keep`` pass through; those named
+like an output column or starting with ``pack_`` raise ``ValueError``.
 """
 
 from __future__ import annotations
@@ -26,10 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import column, cut, written
+from quarry.plans import sizing
+
 SEQUENCE_TOKENS = 2048
 END_ID = 0
 GROUP_TOKENS = 1 << 21
+#: A bin with more than this part of its tokens free is packed once more, so many bins to a task.
+LOOSE, LOOSE_BINS = 1 / 64, 8192
 CACHED_WORDS = 200_000
+OWN = ("piece", "start", "length", "ids", "sequence_id", "offset")
 _LOADED: dict[str, "WordTokenizer"] = {}
 
 
@@ -146,6 +157,21 @@ def best_fit(items: np.ndarray, capacity: np.ndarray, weights: np.ndarray, score
     return need, n_bins
 
 
+def places(length: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """Offset of each piece in its bin, in the order given."""
+    order = np.argsort(where, kind="stable")
+    before = np.cumsum(length[order]) - length[order]
+    first = np.concatenate(([True], where[order][1:] != where[order][:-1]))
+    offset = np.empty(len(length), np.int64)
+    offset[order] = before - np.maximum.accumulate(np.where(first, before, 0))
+    return offset
+
+
+def vectors(length: np.ndarray) -> np.ndarray:
+    """What a piece needs of each capacity."""
+    return np.stack([length, np.ones(len(length)), length.astype(float) ** 2], axis=1)
+
+
 def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None,
          tokens: int = SEQUENCE_TOKENS, documents: int | None = None, attention: float | None = None,
          weights: Sequence[float] = (1.0, 0.01, 0.01), score: str = "norm", end_id: int = END_ID,
@@ -166,6 +192,9 @@ def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str |
     weigh, end = np.array(weights, float), np.array([end_id], "<u4").tobytes()
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     names = [doc_id, *keep]
+    clash = [c for c in names if c.lower() in OWN or c.lower().startswith("pack_")]
+    if clash:
+        raise ValueError(f"columns {clash} have names the operator needs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -176,13 +205,8 @@ def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str |
         def flush(rows: list, pieces: list) -> Iterator[pa.RecordBatch]:
             nonlocal next_id
             length = np.array([len(p[3]) // 4 for p in pieces])
-            items = np.stack([length, np.ones(len(length)), length.astype(float) ** 2], axis=1)
-            where, n = best_fit(items, capacity, weigh, score)
-            order = np.argsort(where, kind="stable")
-            before = np.cumsum(length[order]) - length[order]
-            first = np.concatenate(([True], where[order][1:] != where[order][:-1]))
-            offset = np.empty(len(length), np.int64)
-            offset[order] = before - np.maximum.accumulate(np.where(first, before, 0))
+            where, n = best_fit(vectors(length), capacity, weigh, score)
+            offset = places(length, where)
             table = pa.Table.from_batches(rows).take(pa.array([p[0] for p in pieces]))
             for i in range(0, len(pieces), 4096):
                 some = slice(i, i + 4096)
@@ -215,4 +239,30 @@ def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str |
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in names),
                         "piece int, start long, length long, ids binary, sequence_id long, offset long"])
-    return df.select(*names, F.col(text).cast("string").alias("pack_text")).mapInArrow(run, schema)
+    made = df.select(*[column(c) for c in names], column(text).cast("string").alias("pack_text")).mapInArrow(run, schema)
+    return _packed_again(written(made), capacity, weigh, score)
+
+
+def _packed_again(pieces: DataFrame, capacity: np.ndarray, weights: np.ndarray, score: str) -> DataFrame:
+    """``pieces`` with those in bins with room packed once more across tasks."""
+    room = F.lit(float(capacity[0] * (1 - LOOSE)))
+    loose = cut(pieces.groupBy("sequence_id").agg(F.sum("length").alias("pack_used")).where(F.col("pack_used") < room).select("sequence_id"))
+    groups = -(-loose.count() // LOOSE_BINS)
+    if not groups:
+        return pieces
+    items = pieces.select("sequence_id", "offset", "length").join(sizing.broadcast_if_small(loose), "sequence_id")
+    items = items.withColumn("pack_group", F.pmod(F.xxhash64("sequence_id"), F.lit(groups)))
+
+    def again(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+        length, before = t.column("length").to_numpy(), t.column("sequence_id").to_numpy()
+        where, n = best_fit(vectors(length), capacity, weights, score)
+        if n >= len(np.unique(before)):  # nothing won: the bins stay as they are
+            where, t, length = where[:0], t.slice(0, 0), length[:0]
+        return pa.table([t.column("sequence_id"), t.column("offset"), pa.array(-1 - where * groups - t.column("pack_group").to_numpy(), pa.int64()),
+                         pa.array(places(length, where) if len(length) else length, pa.int64())], names=["sequence_id", "offset", "pack_to", "pack_at"])
+
+    moved = items.groupBy("pack_group").applyInArrow(again, "sequence_id long, offset long, pack_to long, pack_at long")
+    out = pieces.join(sizing.broadcast_if_small(cut(moved)), ["sequence_id", "offset"], "left")
+    new = {"sequence_id": F.coalesce("pack_to", "sequence_id"), "offset": F.coalesce("pack_at", "offset")}
+    return out.withColumns(new).select(*[column(c) for c in pieces.columns])

@@ -166,6 +166,43 @@ def test_best_fit_holds_every_capacity(score):
         assert (items[where == b].sum(axis=0) <= capacity + 1e-6).all() and (where == b).any()
 
 
+def test_packing_does_not_depend_on_partitions(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+
+    def count(parts):
+        rows = packing.pack(table.repartition(parts, "doc_id")).select("sequence_id", "offset", "length").collect()
+        bins = defaultdict(list)
+        for r in rows:
+            bins[r.sequence_id].append((r.offset, r.length))
+        for b in bins.values():
+            assert [o for o, _ in sorted(b)] == [0, *np.cumsum([n for _, n in sorted(b)])[:-1]] and sum(n for _, n in b) <= 2048
+        return len(bins), len(rows), sum(r.length for r in rows)
+
+    one, many = count(1), count(100)
+    assert one[1:] == many[1:] and many[0] <= one[0] + 1 and one[0] <= math.ceil(one[2] / 2048) * 1.02
+    with pytest.raises(ValueError):
+        packing.pack(table.withColumn("length", F.lit(1)), keep=["length"])
+
+
+@pytest.mark.parametrize("score", ["norm", "dot"])
+def test_best_fit_equals_trying_every_bin(score):
+    rng = np.random.default_rng(8)
+    items = np.stack([rng.integers(1, 60, 400), np.ones(400), rng.integers(1, 40, 400)], axis=1).astype(float)
+    capacity, weights = np.array([100.0, 6.0, 70.0]), np.array([1.0, 0.5, 0.25])
+    size, bins, want = items / capacity, [], np.empty(400, int)
+    for i in sorted(range(400), key=lambda i: -size[i].max()):
+        fits = [b for b in range(len(bins)) if (bins[b] >= size[i] - 1e-12).all()]
+        worth = {b: (((bins[b] - size[i]) ** 2) @ weights if score == "norm" else -((bins[b] * size[i]) @ weights)) for b in fits}
+        if not fits:
+            bins.append(np.ones(3))
+        want[i] = min(fits, key=lambda b: worth[b]) if fits else len(bins) - 1
+        bins[want[i]] = bins[want[i]] - size[i]
+    got, n = packing.best_fit(items, capacity, weights, score)
+    used = np.stack([np.bincount(got, items[:, c]) for c in range(3)], axis=1)
+    assert (used <= capacity + 1e-9).all() and abs(n - len(bins)) <= 1
+    assert score == "dot" or (got == want).mean() > 0.9
+
+
 def test_chat_round_trip(spark):
     text = r"</s>[INST] ok [/INST] \ \\ <\s> <|im_end|> <<SYS>> [\INST] <<s>"
     rows = [(1, i, ("system", "user", "assistant")[0 if i == 0 else 1 + (i + 1) % 2], f"{text} {i} " + "word " * (i * 9)) for i in range(12)]
