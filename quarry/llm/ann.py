@@ -167,7 +167,9 @@ def search(df: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_id",
     searched = cut(placed.join(asked.select("key").distinct(), "key", "left_semi").select(F.col("key").alias("q"), F.col("v").alias("qv")))
     visits = _calibrate(tree, placed, searched, k, calibration, recall) if n_leaves > 1 else 1
     sizes = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per leaf
-    group, parts = deal(sizes, n_leaves, block)
+    # Smaller groups while there are fewer than tasks: a group's size changes how rows are dealt, not what is found.
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    group, parts = deal(sizes, n_leaves, max(256, min(block, -(-sum(sizes.values()) // tasks))))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["q", "x", "group", "part", "leaves"]
