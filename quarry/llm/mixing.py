@@ -4,16 +4,17 @@ Every document gets an Efraimidis-Spirakis exponential key: -ln(u) / w with u
 drawn from its id and a seed, w its quality weight.  A source's target is met
 by complete epochs first; the rest goes to the documents with the least keys,
 up to where their running size meets the rest (the document on the border is
-taken if that comes nearer).
+taken if that comes nearer).  Rows that repeat an id and text share a key; on
+the border as many of them are taken as come nearest.
 
 The running sizes of one source are never computed in one task: sizes are first
 summed by ranges of the key (two levels of 4096 ranges), and only the documents
 of the one range that holds the border are sorted.
 
 Null sources are one source, after all others; null text has size 0.  Equal
-keys (rows that repeat an id and text) go by size, and equal rows count as one
-entry that is taken or left as a whole.  Empty tables give empty results.
-Extra columns pass through ``mix``; names starting with ``mix_`` are reserved.
+keys go by size.  Texts are counted whole, however long.  Empty tables give
+empty results.  Extra columns pass through ``mix`` under any name but those
+starting with ``mix_``, which raise ``ValueError``.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WORD, cut, join_heavy
+from quarry.llm.common import WORD, column, cut, join_heavy, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3.0
@@ -73,11 +74,11 @@ def targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: float = MAX_EPOCHS) -
 def _border(rows: DataFrame, part: str) -> DataFrame:
     """Per source, the range ``part`` where the running size passes ``mix_rest`` and the size before it."""
     run = Window.partitionBy("mix_src").orderBy(part)
-    sums = rows.groupBy("mix_src", part).agg(F.sum("mix_size").alias("mix_sum"), F.first("mix_rest").alias("mix_rest"))
-    sums = sums.withColumn("mix_run", F.sum("mix_sum").over(run))
+    sums = rows.groupBy("mix_src", part).agg(F.sum("mix_sum").alias("mix_part"), F.first("mix_rest").alias("mix_rest"))
+    sums = sums.withColumn("mix_run", F.sum("mix_part").over(run))
     last = sums.where("mix_run >= mix_rest").groupBy("mix_src").agg(
-        F.min(F.struct(part, "mix_run", "mix_sum")).alias("b"))
-    return last.select("mix_src", F.col(f"b.{part}").alias(f"{part}_b"), (F.col("b.mix_run") - F.col("b.mix_sum")).alias(f"{part}_before"))
+        F.min(F.struct(part, "mix_run", "mix_part")).alias("b"))
+    return last.select("mix_src", F.col(f"b.{part}").alias(f"{part}_b"), (F.col("b.mix_run") - F.col("b.mix_part")).alias("mix_before"))
 
 
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17,
@@ -87,55 +88,83 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
     ``weight`` replaces ``quality_weight``.  Reruns agree: keys depend on id,
     text and seed alone.
     """
-    u = (F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.col(text), F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(2 ** 53))
-    sized = df.withColumn("mix_size", size_of(F.col(text)))
-    w = weight if weight is not None else quality_weight(F.col(text), F.col("mix_size"))
+    clash = [c for c in df.columns if c.lower().startswith("mix_")]
+    if clash:
+        raise ValueError(f"columns {clash} have names the operator needs")
+    u = (F.shiftrightunsigned(F.xxhash64(column(doc_id), column(text), F.lit(seed)), 11).cast("double") + 0.5) / F.lit(float(2 ** 53))
+    sized = df.withColumn("mix_size", size_of(column(text)))
+    w = weight if weight is not None else quality_weight(column(text), F.col("mix_size"))
     # 1 - exp(-key) keeps the order of the keys and lies between 0 and 1.
     rank = 1.0 - F.exp(F.ln(u) / w)
-    keyed = sized.withColumn("mix_key", rank).withColumn("mix_src", F.struct(F.col(source).isNull(), F.coalesce(F.col(source), F.lit(""))))
+    keyed = sized.withColumn("mix_key", rank).withColumn("mix_src", F.struct(column(source).isNull(), F.coalesce(column(source), F.lit(""))))
     fine = (F.col("mix_key") * (RANGES * RANGES)).cast("long")
-    keyed = keyed.withColumn("mix_low", fine % RANGES).withColumn("mix_high", F.floor(fine / RANGES))
     # What the decisions need is small; the texts are not read again.
-    small = cut(keyed.select("mix_src", "mix_size", "mix_key", "mix_high", "mix_low").groupBy(
-        "mix_src", "mix_size", "mix_key", "mix_high", "mix_low").agg(
+    small = keyed.withColumn("mix_low", fine % RANGES).withColumn("mix_high", F.floor(fine / RANGES))
+    small = cut(small.groupBy("mix_src", "mix_size", "mix_key", "mix_high", "mix_low").agg(
         F.sum("mix_size").alias("mix_sum"), F.count(F.lit(1)).alias("mix_rows")))
     plan = cut(plan_of(small, weights, max_epochs))
+    out = _with_plan(keyed, plan, small.groupBy("mix_src").agg(F.sum("mix_rows").alias("mix_rows")))
+    entry, border = F.struct("mix_key", "mix_size"), F.struct("mix_key_b", "mix_size_b")
+    split = "mix_some > 0 AND mix_some < mix_rows_b"
+    more = F.when(entry < border, 1).when((entry == border) & (F.col("mix_some") > 0), 1).otherwise(0)
+    if plan.where(split).isEmpty():
+        return _taken(out, more, df.columns)
+    # Sources whose border cuts through equal rows: those rows are numbered one by one.
+    on_border = F.expr(split) & (entry == border)
+    on_border = F.coalesce(on_border, F.lit(False))
+    equal = _numbered(written(out.where(on_border).withColumn("mix_row", F.monotonically_increasing_id())))
+    one = F.when(F.col("mix_at") <= F.col("mix_some"), 1).otherwise(0)
+    return _taken(out.where(~on_border), more, df.columns).unionByName(_taken(equal, one, df.columns))
+
+
+def _with_plan(rows: DataFrame, plan: DataFrame, counts: DataFrame) -> DataFrame:
+    """``rows`` joined to the plan of their source: broadcast if small enough, else with heavy sources apart."""
     if plan.count() <= MAX_BROADCAST_SOURCES:
-        out = keyed.join(F.broadcast(plan), "mix_src", "left")
-    else:
-        rows = small.groupBy("mix_src").agg(F.sum("mix_rows").alias("mix_rows"))
-        out = join_heavy(keyed, plan.join(rows, "mix_src"), "mix_src", "mix_rows", "left")
-    below = (F.col("mix_high") < F.col("high_b")) | ((F.col("mix_high") == F.col("high_b")) & (F.col("mix_low") < F.col("low_b"))) | (
-        (F.col("mix_high") == F.col("high_b")) & (F.col("mix_low") == F.col("low_b"))
-        & (F.struct("mix_key", "mix_size") <= F.struct("key_b", "size_b")))
-    more = F.when(F.coalesce(below, F.lit(False)), 1).otherwise(0)
-    return out.withColumn("mix_copies", (F.col("mix_epochs") + more).cast("int")).withColumn(
-        "mix_taken", F.col("mix_size") * F.col("mix_copies")).withColumnsRenamed(
-        {"source_size": "mix_source_size", "target": "mix_target"}).drop(
-        "mix_src", "mix_key", "mix_high", "mix_low", "mix_epochs", "high_b", "low_b", "key_b", "size_b")
+        return rows.join(F.broadcast(plan), "mix_src", "left")
+    return join_heavy(rows, plan.join(counts.withColumnRenamed("mix_rows", "mix_n"), "mix_src"), "mix_src", "mix_n", "left")
+
+
+def _taken(rows: DataFrame, more: Column, names: list[str]) -> DataFrame:
+    copies = (F.col("mix_epochs") + more).cast("int")
+    return rows.select(*[column(c) for c in names], "mix_size", "mix_source_size", "mix_target", copies.alias("mix_copies"),
+                       (F.col("mix_size") * copies).alias("mix_taken"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``mix_at``: 1, 2, ... per source, by the rows' stored keys: places within a part of the table after the parts before."""
+    part = F.shiftright("mix_row", 33)
+    within = Window.partitionBy("mix_src", "mix_part").orderBy("mix_row")
+    rows = rows.withColumn("mix_part", part)
+    sizes = rows.groupBy("mix_src", "mix_part").agg(F.count(F.lit(1)).alias("mix_n"))
+    before = Window.partitionBy("mix_src").orderBy("mix_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("mix_src", "mix_part", F.coalesce(F.sum("mix_n").over(before), F.lit(0)).alias("mix_before"))
+    rows = rows.withColumn("mix_at", F.row_number().over(within)).join(sizes, ["mix_src", "mix_part"])
+    return rows.withColumn("mix_at", F.col("mix_at") + F.col("mix_before"))
 
 
 def plan_of(small: DataFrame, weights, max_epochs: float) -> DataFrame:
-    """One row per source: target, complete epochs, and the last key the fraction takes."""
+    """One row per source: target, complete epochs, and the border entry with how many of its rows the fraction takes."""
     sizes = small.groupBy("mix_src").agg(F.sum("mix_sum").alias("source_size"))
     named = sizes.select(F.when(~F.col("mix_src.col1"), F.col("mix_src.col2")).alias("source"), "source_size", "mix_src")
     goal = targets(named.select("source", "source_size"), weights, max_epochs)
-    goal = goal.select(F.struct(F.col("source").isNull(), F.coalesce("source", F.lit(""))).alias("mix_src"), "source_size", "target")
-    goal = goal.withColumn("mix_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
-    goal = cut(goal.withColumn("mix_rest", F.col("target") - F.col("mix_epochs") * F.col("source_size")))
-    rows = small.withColumnRenamed("mix_size", "mix_one").withColumnRenamed("mix_sum", "mix_size").join(
-        F.broadcast(goal.where("mix_rest > 0").select("mix_src", "mix_rest")), "mix_src")
-    high = _border(rows.withColumnRenamed("mix_high", "high"), "high")
-    inner = rows.join(F.broadcast(high), "mix_src").where("mix_high = high_b").withColumn("mix_rest", F.col("mix_rest") - F.col("high_before"))
-    low = _border(inner.withColumnRenamed("mix_low", "low"), "low")
-    last = inner.join(F.broadcast(low), "mix_src").where("mix_low = low_b").withColumn("mix_rest", F.col("mix_rest") - F.col("low_before"))
-    run = Window.partitionBy("mix_src").orderBy("mix_key", "mix_one")
-    last = last.withColumn("mix_run", F.sum("mix_size").over(run))
-    # An entry is in if its end is no farther from the border than its start.
-    taken = last.where(F.col("mix_run") - F.col("mix_rest") <= F.col("mix_rest") - (F.col("mix_run") - F.col("mix_size")))
-    end = taken.groupBy("mix_src").agg(F.max(F.struct("mix_key", "mix_one")).alias("k")).select(
-        "mix_src", F.col("k.mix_key").alias("key_b"), F.col("k.mix_one").alias("size_b"))
-    return (goal.select("mix_src", "source_size", "target", "mix_epochs")
-            .join(high.select("mix_src", "high_b"), "mix_src", "left")
-            .join(low.select("mix_src", "low_b"), "mix_src", "left")
-            .join(end, "mix_src", "left"))
+    goal = goal.select(F.struct(F.col("source").isNull(), F.coalesce("source", F.lit(""))).alias("mix_src"),
+                       F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
+    epochs = F.when(F.col("mix_source_size") > 0, F.floor(F.col("mix_target") / F.col("mix_source_size"))).otherwise(0)
+    goal = goal.withColumn("mix_epochs", epochs.cast("long"))
+    goal = cut(goal.withColumn("mix_rest", F.col("mix_target") - F.col("mix_epochs") * F.col("mix_source_size")))
+    few = goal.count() <= MAX_BROADCAST_SOURCES
+    small_side = F.broadcast if few else (lambda d: d)
+    rows = small.join(small_side(goal.where("mix_rest > 0").select("mix_src", "mix_rest")), "mix_src")
+    for part in ("mix_high", "mix_low"):
+        # Rows of the one range that holds the border; what lies before it is taken off the rest.
+        at = _border(rows, part)
+        rows = rows.join(small_side(at), "mix_src").where(F.col(part) == F.col(f"{part}_b"))
+        rows = rows.withColumn("mix_rest", F.col("mix_rest") - F.col("mix_before")).drop(f"{part}_b", "mix_before")
+    run = Window.partitionBy("mix_src").orderBy("mix_key", "mix_size")
+    rows = rows.withColumn("mix_run", F.sum("mix_sum").over(run)).where("mix_run >= mix_rest AND mix_size > 0")
+    end = rows.groupBy("mix_src").agg(F.min(F.struct("mix_key", "mix_size", "mix_rows", "mix_rest", "mix_run", "mix_sum")).alias("e"))
+    left = F.col("e.mix_rest") - (F.col("e.mix_run") - F.col("e.mix_sum"))
+    some = F.least(F.floor(left / F.col("e.mix_size") + 0.5), F.col("e.mix_rows"))
+    end = end.select("mix_src", F.col("e.mix_key").alias("mix_key_b"), F.col("e.mix_size").alias("mix_size_b"),
+                     F.col("e.mix_rows").alias("mix_rows_b"), some.cast("long").alias("mix_some"))
+    return goal.drop("mix_rest").join(end, "mix_src", "left")
