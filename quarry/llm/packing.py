@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.common import column, cut, written
 from quarry.plans import sizing
@@ -190,12 +191,13 @@ def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str |
         raise ValueError("attention capacity must hold at least one-token pieces")
     longest = int(min(tokens, np.sqrt(capacity[2])))
     weigh, end = np.array(weights, float), np.array([end_id], "<u4").tobytes()
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    names = [doc_id, *keep]
-    clash = [c for c in names if c.lower() in OWN or c.lower().startswith("pack_")]
+    out = [doc_id, *keep]
+    clash = [c for c in out if c.lower() in OWN or c.lower().startswith("pack_")]
     if clash:
         raise ValueError(f"columns {clash} have names the operator needs")
 
+    names = ["own"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -237,10 +239,11 @@ def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str |
         if pieces:
             yield from flush(rows, pieces)
 
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in names),
-                        "piece int, start long, length long, ids binary, sequence_id long, offset long"])
-    made = df.select(*[column(c) for c in names], column(text).cast("string").alias("pack_text")).mapInArrow(run, schema)
-    return _packed_again(written(made), capacity, weigh, score)
+    read = df.select(F.struct(*[column(c) for c in out]).alias("own"), column(text).cast("string").alias("pack_text"))
+    kinds = {"piece": T.IntegerType(), "ids": T.BinaryType()}
+    schema = T.StructType([read.schema["own"], *(T.StructField(c, kinds.get(c, T.LongType())) for c in OWN)])
+    made = _packed_again(written(read.mapInArrow(run, schema)), capacity, weigh, score)
+    return made.select(*[F.col("own")[c].alias(c) for c in out], *OWN)
 
 
 def _packed_again(pieces: DataFrame, capacity: np.ndarray, weights: np.ndarray, score: str) -> DataFrame:

@@ -39,8 +39,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quarry.llm.common import cut, join_heavy, written
+from quarry.llm.common import column, cut, join_heavy, written
 
 SPAN = 50
 GRAM = 10
@@ -320,13 +321,17 @@ def _keep(span: int):
 
 def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """All rows (without the text column) plus ``sub_words, sub_removed, sub_kept`` (the text left)."""
-    doc = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = df.select("*", doc.alias("sub_doc"), F.xxhash64(body).alias("sub_key"), body.alias("sub_text")).drop(text)
+    clash = [c for c in df.columns if c.lower().startswith("sub_")]
+    if clash:
+        raise ValueError(f"columns {clash} have names the operator needs")
+    doc = F.coalesce(column(doc_id).cast("long"), F.lit(NO_ID))
+    body = F.coalesce(column(text).cast("string"), F.lit(""))
+    rest = [c for c in df.columns if c != text]
+    rows = df.select(F.struct(*[column(c) for c in rest]).alias("own"), doc.alias("sub_doc"), F.xxhash64(body).alias("sub_key"),
+                     body.alias("sub_text"))
     rows = rows.withColumn("sub_digest", F.unhex(F.md5("sub_text")))
     # Texts are compressed where they are read, so that the two shuffles that need them move less.
-    kinds = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields}
-    packed = ", ".join([v for k, v in kinds.items() if k != "sub_text"] + ["sub_packed binary"])
+    packed = T.StructType([*(f for f in rows.schema.fields if f.name != "sub_text"), T.StructField("sub_packed", T.BinaryType())])
     # Anchors move no text, so they read it as it is: one Python function in that stage, not two.
     ids, texts = rows, rows.select(F.col("sub_text").alias("text"), F.col("sub_key").alias("key"))
     rows = rows.mapInArrow(_packed, packed)
@@ -339,5 +344,6 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int =
     plan = copies.join(per_doc, ["doc", "key"], "full").withColumnsRenamed({"doc": "sub_doc", "key": "sub_key"})
     joined = rows.join(plan, ["sub_doc", "sub_key"], "left").drop("sub_doc", "sub_key", "sub_digest")
     joined = joined.withColumn("sub_copy", F.coalesce("sub_copy", F.lit(False)))
-    out = [v for k, v in kinds.items() if not k.startswith("sub_")]
-    return joined.mapInArrow(_keep(span), ", ".join([*out, "sub_words long", "sub_removed long", "sub_kept string"]))
+    found = [T.StructField("sub_words", T.LongType()), T.StructField("sub_removed", T.LongType()), T.StructField("sub_kept", T.StringType())]
+    out = joined.mapInArrow(_keep(span), T.StructType([rows.schema["own"], *found]))
+    return out.select(*[F.col("own")[c].alias(c) for c in rest], *[f.name for f in found])

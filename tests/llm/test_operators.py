@@ -9,8 +9,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quarry.llm import ann, chat, licenses, lm, mixing, packing, quality, simhash, substring, urls
+from quarry.llm import ann, chat, digests, licenses, lm, mixing, packing, quality, resampling, simhash, substring, urls
 from quarry.llm.common import connected_components
+from quarry.session import scratch_path
 
 
 def split(text):
@@ -109,6 +110,49 @@ def test_mixing_meets_targets(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_equal_rows_are_taken_one_by_one(spark):
+    rows = [(1, "a " * 50, "x", 1.5, "p")] * 300 + [(i, "b " * 50, "x", 2.5, "q") for i in range(2, 102)] + [(0, "c " * 4000, "y", 0.0, "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, target double, `key_b` string").repartition(7)
+    got = mixing.mix(df, weights=(1.0, 1.0))
+    assert got.columns == [*df.columns, "mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_taken"]
+    rows = got.collect()
+    assert len(rows) == 401 and Counter((r.doc_id, r.target) for r in rows) == Counter((r[0], r[3]) for r in df.collect())
+    for source in "xy":
+        own = [r for r in rows if r.source == source]
+        assert abs(sum(r.mix_taken for r in own) - own[0].mix_target) <= own[0].mix_size / 2 + 1
+    again = Counter((r.doc_id, r.mix_copies) for r in mixing.mix(df, weights=(1.0, 1.0)).collect())
+    assert again == Counter((r.doc_id, r.mix_copies) for r in rows)
+    with pytest.raises(ValueError):
+        mixing.mix(df.withColumn("mix_key", F.lit(1)))
+
+
+NAMES = ("a.b", "target", "size_b", "source_size", "key_b", "high_b", "before", "length", "start", "host", "score", "n_words")
+
+
+def test_extra_columns_keep_their_names_and_values(spark, docs):
+    import corpus_pipeline as cp
+    base = docs.drop("n_words").limit(40)
+    df = base.select("*", *[F.concat(F.lit(f"{n}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(n) for n in NAMES])
+
+    def check(out, *without):
+        rows, names = out.collect(), [n for n in NAMES if n not in without]
+        assert rows and set(names) <= set(out.columns) and len(set(out.columns)) == len(out.columns)
+        at = {n: out.columns.index(n) for n in names}
+        assert all(r[at[n]] == f"{n}:{'none' if r.doc_id is None else r.doc_id}" for r in rows for n in names)
+
+    check(mixing.mix(df))
+    check(quality.judge(df, prefix="rule_"))
+    check(urls.judge(df.withColumnRenamed("text", "url"), (("allow", "com/"),)))
+    check(substring.dedup(df))
+    check(packing.pack(df.drop("length", "start"), keep=[n for n in NAMES if n not in ("length", "start")]), "length", "start")
+    check(resampling.resample(df, base.select("text")))
+    check(digests.deliver(df, digests.DigestIndex(spark, scratch_path(spark, "names")), 1))
+    table = df.withColumns({"lang": F.lit("en"), "n_chars": F.char_length("text").cast("long")})
+    for _, stage in cp.STAGES[:-1]:
+        table = stage(spark, table, "")
+        check(table)
+
+
 def test_quality_counts(docs, empty):
     with pytest.raises(ValueError):
         quality.judge(docs)
