@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from quarry.functions.text import snippet
 
 CORPUS_COLUMNS = ["doc_id", "source", "title", "content", "contents"]
 
@@ -45,11 +41,6 @@ def source_counts(corpus: DataFrame, source_col: str = "source") -> DataFrame:
                   .agg(F.count(F.lit(1)).alias("n_docs")))
 
 
-def with_snippet(df: DataFrame, content_col: str = "content", out_col: str = "snippet",
-                 max_chars: int = 500) -> DataFrame:
-    return df.withColumn(out_col, snippet(content_col, max_chars))
-
-
 def fixed_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "contents",
                  size: int = 1000) -> DataFrame:
     """Cut every ``size`` characters: (id, chunk_no, chunk).  Empty text: no chunk."""
@@ -61,58 +52,77 @@ def fixed_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "content
 
 
 # Separators tried in order by the recursive splitter
-# (paragraph, line, sentence, word, then a hard cut).
-CHUNK_SEPARATORS = ("\n\n", "\n", ". ", " ", "")
+# (paragraph, line, sentence, word; then a hard cut).
+CHUNK_SEPARATORS = ("\n\n", "\n", ". ", " ")
+#: Pieces merged in one go; what a run made is set aside, so long texts are not copied at every step.
+MERGE_RUN = 1024
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once (bound to a lambda variable)."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _pieces(text: Column, separator: str) -> Column:
+    """Text cut after every separator; empty pieces are left out."""
+    def attach(parts: Column) -> Column:
+        kept = F.transform(parts, lambda p, i: F.when(i < F.size(parts) - 1, F.concat(p, F.lit(separator))).otherwise(p))
+        return F.filter(kept, lambda p: p != "")
+
+    return _let(F.split(text, separator.replace(".", r"\."), -1), attach)
+
+
+def _state(out: Column, current: Column) -> Column:
+    return F.struct(out.alias("out"), current.alias("current"))
 
 
-def split_recursive(text: str | None, size: int = 1000,
-                    separators: Sequence[str] = CHUNK_SEPARATORS) -> list[str]:
-    """Split text into pieces of at most ``size`` characters.
+def _merged(pieces: Column, size: int) -> Column:
+    """Neighbouring pieces joined up to ``size`` characters; a longer piece stands alone."""
+    none = F.array().cast("array<string>")
 
-    Pieces are cut at the coarsest separator that makes them fit, then merged
-    greedily back up to ``size``.  Separators stay attached to the preceding
-    piece, so ``''.join(result) == text``.
+    def add(state: Column, piece: Column) -> Column:
+        done = F.when(state["current"] != "", F.concat(state["out"], F.array(state["current"]))).otherwise(state["out"])
+        fits = F.char_length(state["current"]) + F.char_length(piece) <= size
+        return F.when(fits, _state(state["out"], F.concat(state["current"], piece))).when(
+            F.char_length(piece) > size, _state(F.concat(done, F.array(piece)), F.lit(""))).otherwise(_state(done, piece))
+
+    def run(state: Column, start: Column) -> Column:
+        made = F.aggregate(F.slice(pieces, start, MERGE_RUN), _state(none, state["current"]), add)
+        return _let(made, lambda m: F.struct(F.concat(state["runs"], F.array(m["out"])).alias("runs"), m["current"].alias("current")))
+
+    def last(state: Column) -> Column:
+        end = F.when(state["current"] != "", F.array(state["current"])).otherwise(none)
+        return F.concat(F.flatten(state["runs"]), end)
+
+    first = F.struct(F.array().cast("array<array<string>>").alias("runs"), F.lit("").alias("current"))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(pieces), F.lit(1)), F.lit(MERGE_RUN)), first, run, last)
+
+
+def split_column(text: Column, size: int = 1000, separators: Sequence[str] = CHUNK_SEPARATORS) -> Column:
+    """Chunks of at most ``size`` characters, as an array.
+
+    A text that fits is one chunk; else it is cut at the first separator that it
+    holds and its pieces are merged greedily; pieces still too long go on with
+    the separators after it and in the end are cut every ``size`` characters.
+    Separators stay with the piece before them, so the chunks joined are the
+    text.  Null and empty texts have none.
     """
-    if not text:
-        return []
-    if len(text) <= size:
-        return [text]
-    for i, sep in enumerate(separators):
-        if sep == "":
-            return [text[j:j + size] for j in range(0, len(text), size)]
-        if sep not in text:
-            continue
-        parts = text.split(sep)
-        pieces = [p + sep for p in parts[:-1]] + [parts[-1]]
-        pieces = [p for p in pieces if p]
-        out: list[str] = []
-        current = ""
-        for piece in pieces:
-            if len(piece) > size:
-                if current:
-                    out.append(current)
-                    current = ""
-                out.extend(split_recursive(piece, size, separators[i + 1:]))
-            elif len(current) + len(piece) <= size:
-                current += piece
-            else:
-                out.append(current)
-                current = piece
-        if current:
-            out.append(current)
-        return out
-    return [text]
+    def level(items: Column, separator: str) -> Column:
+        return F.flatten(F.transform(items, lambda x: F.when(F.char_length(x) > size, _let(
+            _pieces(x, separator), lambda ps: _merged(ps, size))).otherwise(F.array(x))))
+
+    items = F.when(F.coalesce(text, F.lit("")) != "", F.array(text)).otherwise(F.array().cast("array<string>"))
+    for separator in separators:
+        items = level(items, separator)
+    cut = F.lit(f"(?s).{{1,{size}}}")
+    return F.flatten(F.transform(items, lambda x: F.when(
+        F.char_length(x) > size, F.regexp_extract_all(x, cut, 0)).otherwise(F.array(x))))
 
 
 def recursive_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "contents",
                      size: int = 1000) -> DataFrame:
-    """(id, chunk_no, chunk) with the recursive splitter, Arrow-batched."""
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def _split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_recursive(t, size))
-
-    return (df.select(id_col, F.posexplode(_split(F.col(text_col))).alias("chunk_no", "chunk"))
+    """(id, chunk_no, chunk) with the recursive splitter; Spark functions only."""
+    return (df.select(id_col, F.posexplode(split_column(F.col(text_col), size)).alias("chunk_no", "chunk"))
               .withColumn("chunk_no", F.col("chunk_no").cast("int")))
 
 

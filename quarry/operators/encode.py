@@ -18,6 +18,8 @@ An encoder factory is any picklable zero-argument callable returning
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -64,7 +66,7 @@ class HashingEncoderFactory:
         return HashingEncoder(self.dim)
 
     def __eq__(self, other):
-        return isinstance(other, HashingEncoderFactory) and other.dim == self.dim
+        return type(other) is type(self) and other.dim == self.dim
 
     def __hash__(self):
         return hash(("hashing", self.dim))
@@ -77,6 +79,40 @@ def masked_mean(hidden: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return (hidden * m).sum(axis=1) / counts
 
 
+def ragged_mean(states: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Mean of each text's own token states; ``states`` has the tokens of all texts in a row, text i up to ``ends[i]``.
+
+    No padding takes part, so a text's vector does not depend on its batch
+    mates.  A text without tokens has a zero vector.
+    """
+    starts = np.r_[0, ends[:-1]]
+    sums = np.zeros((len(ends), states.shape[1]))
+    some = np.flatnonzero(ends > starts)
+    if len(some):
+        sums[some] = np.add.reduceat(states, starts[some], axis=0)
+    return sums / np.maximum(ends - starts, 1)[:, None]
+
+
+class PooledHashingEncoder(HashingEncoder):
+    """Token states (signed one-hot by hash) pooled per text, as a model's last layer is."""
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        tokens = [_TOKEN_RE.findall(text.lower()) for text in texts]
+        coded = [_bucket_sign(token, self.dim) for own in tokens for token in own]
+        states = np.zeros((len(coded), self.dim))
+        if coded:
+            states[np.arange(len(coded)), [b for b, _ in coded]] = [sign for _, sign in coded]
+        return ragged_mean(states, np.cumsum([len(own) for own in tokens]))
+
+
+class PooledHashingEncoderFactory(HashingEncoderFactory):
+    def __call__(self):
+        return PooledHashingEncoder(self.dim)
+
+    def __hash__(self):
+        return hash(("pooled", self.dim))
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
@@ -147,6 +183,20 @@ def encode(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "contents",
     return src.mapInPandas(run, schema)
 
 
+@dataclass(frozen=True)
+class EncoderPair:
+    """A document encoder and a query encoder whose vectors meet in one space, as two-tower models have them."""
+
+    document: Callable
+    query: Callable
+
+    def documents(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "contents", **how) -> DataFrame:
+        return encode(df, id_col=id_col, text_col=text_col, encoder_factory=self.document, **how)
+
+    def queries(self, df: DataFrame, qid_col: str = "qid", text_col: str = "question", **how) -> DataFrame:
+        return encode(df, id_col=qid_col, text_col=text_col, encoder_factory=self.query, **how)
+
+
 def hash_encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "contents",
                 dim: int = 128, normalize: bool = True, out_col: str = "embedding") -> DataFrame:
     """(id, embedding array<double>) by signed feature hashing, JVM-side only.

@@ -8,9 +8,10 @@ question, the request and the latency; ``flatten_run`` undoes the nesting.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.functions.text import snippet
@@ -18,6 +19,7 @@ from quarry.operators import bm25 as bm25_ops
 from quarry.operators import dense as dense_ops
 from quarry.operators.fusion import RRF_K, rrf
 from quarry.plans import sizing
+from quarry.session import materialize
 
 # Method names accepted and the retriever label reported for each.
 METHOD_ALIASES = {"bm25": "bm25", "dense": "dense", "medcpt": "dense", "rrf": "rrf", "rrf2": "rrf"}
@@ -80,6 +82,21 @@ def format_results(ranking: DataFrame, corpus: DataFrame, id_col: str = "doc_id"
                          F.col("content").alias("full_content"))
 
 
+def timed(ranking: DataFrame, queries: DataFrame, name: str = "run", qid_col: str = "qid") -> tuple[DataFrame, dict]:
+    """Runs a ranking and measures it: the ranking as stored, and what the run took.
+
+    The rows of the one job that computes and writes the ranking are counted
+    where they pass (``Observation``); its wall time is shared by all queries
+    asked, so ``latency_ms`` is a query's share of the batch.
+    """
+    watch = Observation(name)
+    n = queries.select(qid_col).count()
+    start = time.perf_counter()
+    stored = materialize(ranking.observe(watch, F.count(F.lit(1)).alias("n_results")), "timed_run")
+    wall = 1000 * (time.perf_counter() - start)
+    return stored, {"n_queries": n, "n_results": watch.get["n_results"], "wall_ms": wall, "latency_ms": wall / max(n, 1)}
+
+
 RESULT_STRUCT = ["rank", "score", "id", "title", "content"]
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import clean_text, lexical_text, snippet, tokens
-from quarry.operators import bm25, dense, encode, fusion, metrics, relevance, report
+from quarry.operators import bm25, dense, encode, evaluate, fusion, metrics, relevance, report
 from quarry.operators import corpus as corpus_ops
 from quarry.operators import retrieve as retrieve_ops
 from quarry.operators.lexical_index import LexicalIndex
@@ -234,6 +234,32 @@ def dense_text_topk(spark, sf_dir):
     return ranking_out(ranking)
 
 
+@register("encode_values")
+def encode_values(spark, sf_dir):
+    docs = fx.documents_corpus(spark, sf_dir)
+    made = encode.encode(docs, encoder_factory=encode.HashingEncoderFactory(HASH_DIM))
+    return long_vectors(made.select("doc_id", "embedding"))
+
+
+@register("encode_pooled")
+def encode_pooled(spark, sf_dir):
+    """Token states pooled per text; sub-batches of an odd size, as no vector depends on its neighbours."""
+    docs = fx.documents_corpus(spark, sf_dir)
+    made = encode.encode(docs, encoder_factory=encode.PooledHashingEncoderFactory(SMALL_HASH_DIM), batch_size=7)
+    return long_vectors(made.select("doc_id", "embedding"))
+
+
+@register("two_encoders_topk")
+def two_encoders_topk(spark, sf_dir):
+    """Documents by the document encoder (pooled token states), queries by the query encoder, then exact search."""
+    pair = encode.EncoderPair(encode.PooledHashingEncoderFactory(SMALL_HASH_DIM), encode.HashingEncoderFactory(SMALL_HASH_DIM))
+    docs = pair.documents(fx.documents_corpus(spark, sf_dir)).select("doc_id", "embedding")
+    stored = scratch_path(spark, "pair_vectors")
+    writers.write_vectors(docs, f"{stored}/table", float32=False)
+    asked = pair.queries(fx.benchmark_queries(spark, sf_dir)).select("qid", "embedding")
+    return ranking_out(dense.topk(readers.read_vectors(spark, f"{stored}/table"), asked, k=TOP_K))
+
+
 @register("encode_quarantine")
 def encode_quarantine(spark, sf_dir):
     d = fx.documents_corpus(spark, sf_dir)
@@ -259,6 +285,15 @@ def rrf2(spark, sf_dir):
     return ranking_out(_bench_ranking(spark, sf_dir, "rrf"))
 
 
+@register("rrf2_padded")
+def rrf2_padded(spark, sf_dir):
+    """Fusion of a lexical list filled up with unmatched documents, as when every document has a rank."""
+    ws, docs = Workspace.of(spark, sf_dir), fx.documents_corpus(spark, sf_dir)
+    return ranking_out(retrieve_ops.retrieve(
+        fx.benchmark_queries(spark, sf_dir), method="rrf", k=TOP_K, depth=PAD_K, bm25_index=ws.index(),
+        doc_vectors=ws.doc_blocks(HASH_DIM), query_vectors=ws.query_vectors(HASH_DIM), pad_unmatched=True, corpus_ids=docs))
+
+
 @register("rrf3")
 def rrf3(spark, sf_dir):
     q = fx.benchmark_queries(spark, sf_dir)
@@ -328,6 +363,38 @@ def run_nested(spark, sf_dir):
                        F.col("rank").cast("int").alias("rank"), r6("score"), "id", "title", "content")
 
 
+@register("timed_run")
+def timed_run(spark, sf_dir):
+    """Measured runs of two methods: what they returned, and that the measured latency is a plausible one."""
+    ws, queries, out = Workspace.of(spark, sf_dir), fx.benchmark_queries(spark, sf_dir), []
+    for method in ("bm25", "dense"):
+        ranking = retrieve_ops.retrieve(queries, method=method, k=TOP_K, bm25_index=ws.index(),
+                                        doc_vectors=ws.doc_blocks(HASH_DIM), query_vectors=ws.query_vectors(HASH_DIM))
+        stored, took = retrieve_ops.timed(ranking, queries, f"timed_{method}")
+        run = retrieve_ops.build_run(retrieve_ops.format_results(stored, ws.corpus()), queries,
+                                     latency_ms=took["latency_ms"], methods=[method])
+        fine = (F.col("avg_latency_ms") > 0) & (F.col("avg_latency_ms") * F.col("n_queries") < 3_600_000)
+        out.append(metrics.avg_latency(run).select("method", "n_queries", F.lit(took["n_results"]).cast("long").alias("n_results"),
+                                                   fine.alias("in_range")))
+    return out[0].unionByName(out[1])
+
+
+@register("run_object")
+def run_object(spark, sf_dir):
+    """A run with its requests, written as JSON objects keyed by query id and read back."""
+    queries, path = fx.benchmark_queries(spark, sf_dir), scratch_path(spark, "run_object")
+    requests = queries.select("qid", F.col("qid").cast("string").alias("id"), "question", F.create_map(
+        F.lit("A"), F.substring("question", 1, 20), F.lit("B"), F.concat(F.lit("B: "), "question")).alias("options"), F.lit("B").alias("answer"))
+    run = retrieve_ops.build_run(_results(spark, sf_dir, "rrf"), queries, requests, latency_ms=synthetic_latency())
+    writers.write_run(run, path, layout="object", queries_per_object=50)
+    back = readers.read_run(spark, path, layout="object_lines", method="rrf")
+    asked = back.select("qid", F.col("full_question.options").alias("options"), F.col("full_question.answer").alias("answer"))
+    flat = retrieve_ops.flatten_run(back).join(asked, "qid")
+    return flat.select("qid", "question", "method", "retriever", r6("latency_ms"), F.col("num_results").cast("int").alias("num_results"),
+                       F.col("rank").cast("int").alias("rank"), r6("score"), "id", "title", "content", "answer",
+                       F.try_element_at("options", F.col("answer")).alias("chosen"))
+
+
 @register("query_request_join")
 def query_request_join(spark, sf_dir):
     q = fx.conversation_queries(spark, sf_dir)
@@ -348,9 +415,14 @@ def _known_item(spark, sf_dir):
                                      postings=idx.postings, doc_freq=idx.term_stats)
 
 
+def _keyword_rules(spark, sf_dir):
+    index = _doc_index(spark, sf_dir)
+    return fx.benchmark_keyword_rules(spark, sf_dir, index.term_stats, index.corpus_stats.select("avg_idf").scalar())
+
+
 def _keyword_judged(spark, sf_dir, method):
     return relevance.keyword_gains(_results(spark, sf_dir, method),
-                                   fx.benchmark_keyword_rules(spark, sf_dir))
+                                   _keyword_rules(spark, sf_dir))
 
 
 @register("keyword_relevance")
@@ -447,7 +519,7 @@ def summary_with_empty(spark, sf_dir):
     queries, ws = bench.unionByName(extra), Workspace.of(spark, sf_dir)
     ranking = retrieve_ops.retrieve(queries, method="bm25", k=TOP_K, bm25_index=ws.index())
     results = retrieve_ops.format_results(ranking, ws.corpus())
-    judged = relevance.keyword_gains(results, fx.benchmark_keyword_rules(spark, sf_dir))
+    judged = relevance.keyword_gains(results, _keyword_rules(spark, sf_dir))
     m = metrics.per_query(metrics.ordered_gains(judged), K_VALUES, queries=_asked(queries, "bm25"))
     return summary_out(metrics.summarize(m))
 
@@ -469,6 +541,16 @@ def compare_methods(spark, sf_dir):
                     r6("avg_latency_ms"))
 
 
+@register("report_roundtrip")
+def report_roundtrip(spark, sf_dir):
+    """The comparison report, written as JSON and read back."""
+    path = scratch_path(spark, "report")
+    roles = {"baseline": ("dense", METHOD_NAMES["dense"]), "rrf2": ("rrf", METHOD_NAMES["rrf"])}
+    writers.write_report(report.report_frame(_summary(spark, sf_dir), _latency(spark, sf_dir), roles, K_VALUES), path)
+    saved = readers.read_report(spark, path, list(roles))
+    return saved.select("role", "name", "metric", "k", r6("value"), r6("avg_latency_ms"))
+
+
 @register("improvement")
 def improvement(spark, sf_dir):
     imp = report.improvement(_summary(spark, sf_dir), "dense", "rrf")
@@ -482,6 +564,14 @@ def metric_pivot(spark, sf_dir):
     return p.select("metric", "method", *[r6(f"at_{k}") for k in K_VALUES])
 
 
+@register("evaluate_run")
+def evaluate_run(spark, sf_dir):
+    """Evaluation of one run from its results alone."""
+    done = evaluate.evaluate(_results(spark, sf_dir, "rrf"), rules=_keyword_rules(spark, sf_dir), k_values=K_VALUES,
+                             queries=_asked(fx.benchmark_queries(spark, sf_dir), "rrf"))
+    return summary_out(done.summary)
+
+
 @register("label_dense_metrics")
 def label_dense_metrics(spark, sf_dir):
     v = _embedding_vectors(spark, sf_dir)
@@ -523,6 +613,30 @@ def stream_encode(spark, sf_dir):
     return long_vectors(spark.read.parquet(out).select("doc_id", "embedding"))
 
 
+@register("encode_retry")
+def encode_retry(spark, sf_dir):
+    """Failed documents keep their row, are left alone by a plain resume, and are encoded once when retried."""
+    docs, path = fx.documents_corpus(spark, sf_dir), f"{scratch_path(spark, 'encode_retry')}/table"
+    failing, healthy = MarkerFactory(QUARANTINE_MARKER), encode.HashingEncoderFactory(HASH_DIM)
+    for factory, retry in ((failing, False), (healthy, False), (healthy, True), (healthy, True)):
+        incremental.encode_missing(docs, path, encoder="model", encoder_factory=factory, retry_failed=retry)
+    return spark.read.parquet(path).groupBy("doc_id").agg(
+        F.count_if(F.col("status") == "ok").alias("n_ok"), F.count_if(F.col("status") == "error").alias("n_error"))
+
+
+@register("stream_encode_pooled")
+def stream_encode_pooled(spark, sf_dir):
+    """The encoding stream with a model-shaped encoder, fed by landed files and run twice."""
+    docs, landing = fx.documents_corpus(spark, sf_dir), scratch_path(spark, "pooled_landing")
+    (docs.withColumn("part", F.col("doc_id") % 4).repartition(4, "part")
+         .write.mode("overwrite").partitionBy("part").parquet(landing))
+    out, state = f"{scratch_path(spark, 'pooled_vectors')}/table", scratch_path(spark, "pooled_checkpoint")
+    for _ in range(2):
+        incremental.run_encode_stream(spark, landing, docs.schema, out, state, encoder="model",
+                                      encoder_factory=encode.PooledHashingEncoderFactory(SMALL_HASH_DIM))
+    return long_vectors(spark.read.parquet(out).select("doc_id", "embedding"))
+
+
 @register("corpus_jsonl_roundtrip")
 def corpus_jsonl_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "corpus_jsonl")

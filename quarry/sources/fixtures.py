@@ -10,7 +10,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import first_line, tokens
@@ -68,14 +68,15 @@ def label_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lab.select("doc_id", score.cast("int").alias("relevance_score"))
 
 
-def benchmark_keyword_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(qid, tier, keyword): decisive = the whole text lower-cased;
-    supportive = the distinct tokens of at least 8 characters."""
+def benchmark_keyword_rules(spark: SparkSession, sf_dir: str, term_stats: DataFrame, avg_idf: Column) -> DataFrame:
+    """(qid, tier, keyword): decisive = the whole text lower-cased; supportive = the distinct tokens whose idf
+    is at least the mean over all terms of the corpus (``term_stats``: token, idf)."""
     b = benchmark_queries(spark, sf_dir)
     decisive = b.select("qid", F.lit("decisive").alias("tier"),
                         F.lower("question").alias("keyword"))
+    telling = term_stats.where(F.col("idf") >= avg_idf).select(F.col("token").alias("keyword"))
     supportive = (b.select("qid", F.explode(F.array_distinct(tokens("question"))).alias("keyword"))
-                   .where(F.length("keyword") >= 8)
+                   .join(telling, "keyword")
                    .select("qid", F.lit("supportive").alias("tier"), "keyword"))
     return decisive.unionByName(supportive)
 

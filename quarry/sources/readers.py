@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,7 @@ RESULT_ITEM = T.StructType([
 
 RUN_ENTRY = T.StructType([
     T.StructField("question", T.StringType()),
+    T.StructField("full_question", REQUEST_SCHEMA),
     T.StructField("retriever", T.StringType()),
     T.StructField("latency_ms", T.DoubleType()),
     T.StructField("top_20_results", T.ArrayType(RESULT_ITEM)),
@@ -83,15 +86,20 @@ def read_requests(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_run(spark: SparkSession, path: str, layout: str = "lines", method: str | None = None) -> DataFrame:
-    """Run table ``(qid, question, method, retriever, latency_ms, num_results, top_results)``."""
+    """Run table ``(qid, question, full_question, method, retriever, latency_ms, num_results, top_results)``.
+
+    ``lines``: one query per line.  ``object``: a file is one JSON object keyed by
+    query id, laid out over any lines.  ``object_lines``: such objects on a line
+    each (as ``write_run`` writes them), read in splits.
+    """
     if layout == "lines":
         return spark.read.schema(RUN_LINE_SCHEMA).json(path)
-    if layout == "object":
-        text = spark.read.text(path, wholetext=True)
+    if layout in ("object", "object_lines"):
+        text = spark.read.text(path, wholetext=layout == "object")
         parsed = text.select(F.explode(F.from_json("value", T.MapType(T.StringType(), RUN_ENTRY)))
                              .alias("qid", "e"))
         return parsed.select(
-            "qid", "e.question", F.lit(method).cast("string").alias("method"), "e.retriever",
+            "qid", "e.question", "e.full_question", F.lit(method).cast("string").alias("method"), "e.retriever",
             "e.latency_ms", F.size("e.top_20_results").alias("num_results"),
             F.col("e.top_20_results").alias("top_results"))
     raise ValueError(f"unknown layout {layout}")
@@ -109,6 +117,16 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
                          "pos"))
 
 
+def read_report(spark: SparkSession, path: str, roles: Sequence[str] = ("baseline", "rrf2")) -> DataFrame:
+    """A stored report as ``(role, name, metric, k, value, avg_latency_ms)``."""
+    entry = "struct<name:string,summary:map<string,map<string,double>>,avg_latency_ms:double>"
+    saved = spark.read.schema(", ".join(f"`{r}` {entry}" for r in roles)).json(path)
+    each = saved.select(F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(f"`{r}`").alias("e")) for r in roles])).alias("x"))
+    by_metric = each.select("x.role", "x.e.name", F.explode("x.e.summary").alias("metric", "by_k"), "x.e.avg_latency_ms")
+    return by_metric.select("role", "name", "metric", F.explode("by_k").alias("k", "value"), "avg_latency_ms").select(
+        "role", "name", "metric", F.col("k").cast("int").alias("k"), "value", "avg_latency_ms")
+
+
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -116,6 +134,7 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
 RUN_LINE_SCHEMA = T.StructType([
     T.StructField("qid", T.StringType()),
     T.StructField("question", T.StringType()),
+    T.StructField("full_question", REQUEST_SCHEMA),
     T.StructField("method", T.StringType()),
     T.StructField("retriever", T.StringType()),
     T.StructField("latency_ms", T.DoubleType()),

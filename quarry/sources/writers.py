@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_corpus(corpus: DataFrame, path: str, fmt: str = "parquet",
@@ -22,10 +23,31 @@ def write_vectors(vectors: DataFrame, path: str, vec_col: str = "embedding",
     out.write.mode(mode).parquet(path)
 
 
-def write_run(run: DataFrame, path: str) -> None:
-    """JSON lines, one object per query (qid, question, ..., top_results)."""
-    keep = [c for c in run.columns if c != "full_question"]
-    run.select(*keep).write.mode("overwrite").json(path)
+def write_run(run: DataFrame, path: str, layout: str = "lines", queries_per_object: int = 1000,
+              qid_col: str = "qid") -> None:
+    """The run by query id, with the request (``full_question``) where the run has one.
+
+    ``lines``: JSON lines, one object per query, sorted by query id across the
+    part files.  ``object``: JSON objects keyed by query id, each on one line of
+    a file of its own and of about ``queries_per_object`` queries, so files are
+    written and read in parallel.  Spark's commit shows all files or none.
+    """
+    if layout == "lines":
+        keep = [c for c in run.columns if c != "full_question" or run.schema[c].dataType != T.StringType()]
+        by_id = F.col(qid_col).cast("string")
+        run.select(*keep).repartitionByRange(by_id).sortWithinPartitions(by_id).write.mode("overwrite").json(path)
+        return
+    if layout != "object":
+        raise ValueError(f"unknown layout {layout}")
+    entry = [c for c in ("question", "full_question", "retriever", "latency_ms") if c in run.columns]
+    quoted = F.to_json(F.array(F.col(qid_col).cast("string")))
+    key = F.substring(quoted, F.lit(2), F.char_length(quoted) - 2)
+    line = F.concat(key, F.lit(":"), F.to_json(F.struct(*entry, F.col("top_results").alias("top_20_results"))))
+    files = F.greatest(F.ceil(run.agg(F.count(F.lit(1))).scalar() / queries_per_object), F.lit(1))
+    dealt = run.select(F.pmod(F.xxhash64(qid_col), files.cast("long")).alias("file"), line.alias("line"))
+    objects = dealt.groupBy("file").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    whole = F.concat(F.lit("{"), F.array_join("lines", ","), F.lit("}"))
+    objects.select(whole.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:

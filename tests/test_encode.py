@@ -91,3 +91,24 @@ def test_a_worker_loads_an_encoder_once(spark, tmp_path):
     encode.encode(df, encoder_factory=Counting()).collect()
     pids = [p.name.split("-")[0] for p in folder.iterdir()]
     assert pids and len(pids) == len(set(pids))
+
+
+def test_pooling_takes_no_padding():
+    states = np.arange(12, dtype=float).reshape(6, 2)
+    got = encode.ragged_mean(states, np.array([0, 2, 2, 6]))
+    assert got.tolist() == [[0, 0], [1, 2], [0, 0], [7, 8]]
+    hidden, mask = np.zeros((4, 4, 2)), np.zeros((4, 4))
+    for i, (a, b) in enumerate(((0, 0), (0, 2), (2, 2), (2, 6))):
+        hidden[i, :b - a], mask[i, :b - a], hidden[i, b - a:] = states[a:b], 1, 99
+    assert np.allclose(encode.masked_mean(hidden, mask), got)
+    assert encode.ragged_mean(np.zeros((0, 2)), np.array([0, 0])).tolist() == [[0, 0], [0, 0]]
+
+
+def test_pooled_vectors_do_not_depend_on_the_batch(spark):
+    texts = [(i, "alpha beta " * (i % 5) + f"w{i}") for i in range(30)] + [(30, ""), (31, None)]
+    df = spark.createDataFrame(texts, "doc_id long, contents string")
+    made = [{r.doc_id: r.embedding for r in encode.encode(df.repartition(n), encoder_factory=f(16), batch_size=size).collect()}
+            for f, n, size in ((encode.PooledHashingEncoderFactory, 1, 1), (encode.PooledHashingEncoderFactory, 5, 7),
+                               (encode.HashingEncoderFactory, 2, 16))]
+    assert all(np.allclose(made[0][i], other[i]) for other in made[1:] for i in made[0])
+    assert encode.PooledHashingEncoderFactory(16) != encode.HashingEncoderFactory(16)

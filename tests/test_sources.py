@@ -1,5 +1,8 @@
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
 from quarry.operators import retrieve
 from quarry.sources import readers, writers
 
@@ -42,3 +45,35 @@ def test_corpus_json_round_trip(spark, tmp_path):
     writers.write_corpus(c, str(tmp_path / "corpus"), fmt="json")
     back = readers.read_corpus(spark, str(tmp_path / "corpus"), fmt="json")
     assert sorted(back.select("doc_id", "source", "title", "content", "contents").collect()) == sorted(c.collect())
+
+
+def test_run_objects_round_trip_with_requests(spark, tmp_path):
+    results = spark.createDataFrame([(f"q{i}", "rrf", r, 1.0 / r, f'd"{r}', "t", "line\nbreak") for i in range(25) for r in (1, 2)],
+                                    "qid string, method string, rank int, score double, id string, title string, content string")
+    queries = spark.createDataFrame([(f"q{i}", f'what "{i}"?') for i in range(27)], "qid string, question string")
+    requests = queries.select("qid", "question", F.create_map(F.lit("A"), "question").alias("options"), F.lit("A").alias("answer"))
+    run = retrieve.build_run(results, queries, requests, latency_ms=2.5)
+    path = str(tmp_path / "run")
+    writers.write_run(run, path, layout="object", queries_per_object=5)
+    files = [p for p in (tmp_path / "run").iterdir() if p.name.startswith("part-")]
+    assert len(files) > 2 and sum(len(json.loads(p.read_text())) for p in files) == 27  # each file is a JSON object
+    want = {r.qid: (r.question, r.full_question.options, r.num_results, [x.id for x in r.top_results]) for r in run.collect()}
+    for layout in ("object_lines", "object"):
+        back = readers.read_run(spark, path, layout=layout, method="rrf").collect()
+        assert {r.qid: (r.question, r.full_question.options, r.num_results, [x.id for x in r.top_results]) for r in back} == want
+        assert {r.latency_ms for r in back} == {2.5}
+    writers.write_run(run, str(tmp_path / "lines"))
+    lines = "".join(p.read_text() for p in sorted((tmp_path / "lines").glob("part-*")))
+    ids = [json.loads(x)["qid"] for x in lines.splitlines()]
+    assert ids == sorted(ids) and len(ids) == 27
+    assert {r.qid: r.full_question.answer for r in readers.read_run(spark, str(tmp_path / "lines")).collect()} == dict.fromkeys(want, "A")
+    with pytest.raises(ValueError):
+        writers.write_run(run, path, layout="table")
+
+
+def test_a_failed_write_shows_no_run(spark, tmp_path):
+    run = spark.createDataFrame([(f"q{i}", "?") for i in range(20)], "qid string, question string")
+    fails = F.when(F.col("qid") == "q7", F.raise_error(F.lit("lost"))).otherwise(F.array().cast("array<string>"))
+    with pytest.raises(Exception, match="lost"):
+        writers.write_run(run.withColumn("top_results", fails), str(tmp_path / "run"), layout="object", queries_per_object=2)
+    assert not list(tmp_path.glob("run/part-*")) and not (tmp_path / "run" / "_SUCCESS").exists()

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from quarry.functions.text import lexical_text, relevance_text, snippet, tokens
-from quarry.operators.corpus import map_source, source_counts, split_recursive, unify
+from quarry.operators.corpus import map_source, recursive_chunks, source_counts, unify
 
 
 def test_tokenizer_edge_cases(spark):
@@ -47,10 +47,53 @@ def test_relevance_text_null_is_empty(spark):
     assert df.select(relevance_text().alias("x")).first().x == " body"
 
 
-def test_split_recursive_properties():
-    text = ("Para one. " * 80 + "\n\n" + "line two " * 150 + "\n" + "x" * 2500)
-    parts = split_recursive(text, 1000)
-    assert "".join(parts) == text
-    assert all(0 < len(p) <= 1000 for p in parts)
-    assert split_recursive("", 1000) == [] and split_recursive(None, 1000) == []
-    assert split_recursive("short", 1000) == ["short"]
+def split_recursive(text: str | None, size: int = 1000,
+                    separators=("\n\n", "\n", ". ", " ", "")) -> list[str]:
+    """The recursive splitter, written as a recursion."""
+    if not text:
+        return []
+    if len(text) <= size:
+        return [text]
+    for i, sep in enumerate(separators):
+        if sep == "":
+            return [text[j:j + size] for j in range(0, len(text), size)]
+        if sep not in text:
+            continue
+        parts = text.split(sep)
+        pieces = [p + sep for p in parts[:-1]] + [parts[-1]]
+        pieces = [p for p in pieces if p]
+        out: list[str] = []
+        current = ""
+        for piece in pieces:
+            if len(piece) > size:
+                if current:
+                    out.append(current)
+                    current = ""
+                out.extend(split_recursive(piece, size, separators[i + 1:]))
+            elif len(current) + len(piece) <= size:
+                current += piece
+            else:
+                out.append(current)
+                current = piece
+        if current:
+            out.append(current)
+        return out
+    return [text]
+
+
+def test_recursive_chunks_equal_the_recursion(spark):
+    import random
+    rng = random.Random(5)
+    rows = [("Para one. " * 80 + "\n\n" + "line two " * 150 + "\n" + "x" * 2500,), ("",), (None,), ("short",), ("x" * 1000,), ("\u00e9\U0001f600" * 900,),
+            ("word " * 20_000,), ("\n" * 3000,), (". " * 1500,), ("a\n\n\n" * 700 + "b" * 1001,), (" " + "y" * 999 + " ",)]
+    for _ in range(40):
+        bits = ["\n\n", "\n", ". ", " ", ".", "w" * rng.randrange(1, 60), "z" * rng.randrange(1, 300)]
+        rows.append(("".join(rng.choice(bits) for _ in range(rng.randrange(1, 400))),))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id int, contents string")
+    for size in (1000, 37):
+        got = {}
+        for r in recursive_chunks(df, size=size).orderBy("doc_id", "chunk_no").collect():
+            got.setdefault(r.doc_id, []).append(r.chunk)
+        for i, (text,) in enumerate(rows):
+            assert got.get(i, []) == split_recursive(text, size)
+            assert "".join(got.get(i, [])) == (text or "") and all(0 < len(c) <= size for c in got.get(i, []))
