@@ -13,7 +13,10 @@ A band value is the hash of one of a template's shingles, so a window without
 any template shingle cannot share a band: only windows around such shingles get
 a signature, which keeps the scan one projection.
 
-The templates are a small fixed table, its shingles literals of the plan.  Null
+The templates are a small fixed table, its shingles literals of the plan; it
+covers the notices named in ``TEMPLATES``, each version its own, and no whole
+license texts.  Notices of the GNU family differ in a word or two, so of these a
+document's best matches count and the others do not.  Null
 and empty texts, and those of under five words, have no shingle and no match.
 Rows that repeat an id are reported under that id once per license.  Equal
 containment goes by the first place.  Empty tables give no rows.  Extra columns
@@ -25,7 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SHINGLE = 5
@@ -53,7 +56,31 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "gpl-2.0-line": "This work is licensed under the GNU General Public License, version 2.",
+    "gpl-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+               "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+               "option) any later version.",
+    "gpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+               "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+               "option) any later version.",
+    "lgpl-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+                "(at your option) any later version.",
+    "lgpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                "(at your option) any later version.",
+    "agpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+                "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+                "(at your option) any later version.",
+    "cc0-1.0": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+               "rights to this software to the public domain worldwide. This software is distributed without any warranty.",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+                 "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+                 "binary, for any purpose, commercial or non-commercial, and by any means.",
 }
+#: Licenses whose notices differ in a few words: of those a document holds, only the best matches are reported.
+FAMILY = "^[al]?gpl"
 
 
 def collision_probability(similarity: float, bands: int = BANDS, rows: int = 1) -> float:
@@ -128,6 +155,9 @@ def scan(df: DataFrame, templates: Mapping[str, str] = TEMPLATES, doc_id: str =
     met = banded.join(F.broadcast(bands_of), ["step", "band", "value"]).dropDuplicates(["doc_id", "step", "start", "license", "words"])
     share = F.size(F.array_intersect(_shingles(F.col("words"), shingle), "shingles")) / F.size("shingles")
     sure = met.withColumn("containment", share).where(F.col("containment") >= containment)
-    return sure.groupBy("doc_id", "license").agg(
+    found = sure.groupBy("doc_id", "license").agg(
         F.max("containment").alias("containment"), F.count_distinct("step", "start").alias("n_windows"),
         F.max_by("start", F.struct("containment", -F.col("start"))).cast("long").alias("first_word"))
+    family = F.when(F.col("license").rlike(FAMILY), "gnu").otherwise(F.col("license"))
+    best = F.max("containment").over(Window.partitionBy("doc_id", family))
+    return found.withColumn("best", best).where("containment = best").drop("best")

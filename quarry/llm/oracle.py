@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from quarry.llm.centroids import SCALE
 from quarry.llm.common import LOWER, UPPER
-from quarry.llm.licenses import CONTAINMENT, TEMPLATES
+from quarry.llm.licenses import CONTAINMENT, FAMILY, TEMPLATES
 from quarry.llm.quality import COVERED, RULES, STOP_WORDS
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -56,7 +56,8 @@ wins AS (SELECT doc_id, r, license, m, step, g, unnest([p // step, p // step - 1
 found AS (SELECT doc_id, r, license, step, start, count(DISTINCT g)::DOUBLE / any_value(m) AS c
           FROM wins WHERE start >= 0 GROUP BY doc_id, r, license, step, start)
 SELECT doc_id, license, max(c) AS containment, count(DISTINCT start) AS n_windows, arg_max(start, (c, -start)) AS first_word
-FROM found WHERE c >= {CONTAINMENT} GROUP BY doc_id, license""",
+FROM found WHERE c >= {CONTAINMENT} GROUP BY doc_id, license
+QUALIFY max(c) = max(max(c)) OVER (PARTITION BY doc_id, CASE WHEN regexp_matches(license, '{FAMILY}') THEN 'gnu' ELSE license END)""",
     "op4_quality_rules": rf"""
 WITH w AS (
   SELECT doc_id, lang, row_number() OVER () AS r, coalesce(text, '') AS t, {_WORDS} AS w,

@@ -31,6 +31,18 @@ def test_licenses_match_exact_containment(docs, empty):
         licenses.scan(docs, {"short": "two words"})
 
 
+def test_versions_and_families_are_told_apart(spark):
+    names = ["gpl-2.0-line", "gpl-3.0-line", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "agpl-3.0", "cc0-1.0", "epl-2.0", "unlicense"]
+    rows = [(i, "some words before. " * i + licenses.TEMPLATES[n] + " and after it " * 9) for i, n in enumerate(names)]
+    rows.append((99, licenses.TEMPLATES["gpl-2.0-line"] + " filler" * 80 + " " + licenses.TEMPLATES["gpl-3.0-line"]))
+    got = defaultdict(set)
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r.doc_id].add(r.license)
+    for i, n in enumerate(names):
+        assert n in got[i] and got[i] <= {n, "gpl"}, (n, got[i])
+    assert got[99] == {"gpl-2.0-line", "gpl-3.0-line"}
+
+
 def test_license_scan_finds_all_partial_copies(spark):
     notice = licenses.TEMPLATES["mit"].split()
     rows = [(i, " ".join(["filler%d" % j for j in range(i * 3)] + notice[:len(notice) * (70 + i) // 100] + ["end"] * 50)) for i in range(31)]
