@@ -6,6 +6,7 @@ from quarry.llm.centroids import SCALE
 from quarry.llm.common import LOWER, UPPER
 from quarry.llm.licenses import CONTAINMENT, FAMILY, TEMPLATES
 from quarry.llm.quality import COVERED, RULES, STOP_WORDS
+from quarry.llm.resampling import BUCKETS
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -23,6 +24,11 @@ _NOTICES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in
 
 
 
+_FEATURE_WORDS = (f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
+                  r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
+_FEATURES = "list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+
+
 def _rounds(k: int = 8, rounds: int = 10, width: int = 64) -> str:
     """The assignment and the means of every round, one after another."""
     near = """a{0} AS MATERIALIZED (
@@ -122,4 +128,33 @@ WITH t AS (SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWE
 SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
        row_number() OVER (PARTITION BY h ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, h AS text_sha256
 FROM t""",
+    "op13_importance_resampling": rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_FEATURE_WORDS} AS w FROM documents),
+b AS (SELECT {_FEATURE_WORDS} AS w FROM benchmark),
+df AS (SELECT r, unnest({_FEATURES}) AS f FROM d),
+bf AS (SELECT unnest({_FEATURES}) AS f FROM b),
+step AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+           lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, n)) AS t),
+hexed AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+hashed AS (
+  SELECT f, xor(list_reduce(list_transform(range(1, len(h) + 1, 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT),
+             lambda a, y: xor(a >> 8, t[xor(a & 255, y) + 1]), 4294967295::BIGINT), 4294967295) % {BUCKETS} AS bucket
+  FROM hexed, step),
+s AS (SELECT bucket, count(*) AS n FROM df JOIN hashed USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bf JOIN hashed USING (f) GROUP BY bucket),
+gains AS (
+  SELECT g.bucket, floor(1000 * ln((coalesce(t.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM s) + {BUCKETS})::DOUBLE
+           / ((coalesce(s.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM t) + {BUCKETS})::DOUBLE)))::BIGINT AS gain
+  FROM range({BUCKETS}) g(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+sums AS (SELECT r, count(*) AS n, sum(gain)::BIGINT AS g FROM df JOIN hashed USING (f) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, r, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features,
+         CASE WHEN n > 0 THEN (g - ((g % n) + n) % n) // n ELSE 0 END::BIGINT AS weight,
+         ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM d LEFT JOIN sums USING (r)),
+noisy AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5e0) / 4294967296e0)))::BIGINT AS score FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS k,
+                  count(*) OVER (PARTITION BY n_words >= 20) AS n_open FROM noisy)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND 100 * k <= 25 * n_open THEN k END AS rank
+FROM ranked""",
 }
