@@ -23,8 +23,10 @@ starts in a document with a smaller id.
 6. The union of a document's spans is cut from its words.
 
 Edges and windows are known by two independent rolling hashes of their bytes (64
-bits, and modulo 2^31 - 1).  A span is only taken where both hashes of each part
-equal those at its source coordinates.
+bits, and modulo 2^31 - 1).  In the end the words themselves decide: the words
+of every span and those at its source coordinates are read again, and a span is
+taken only if their digests are equal (a source that many spans share is read
+once).
 
 Ids: null counts as larger than any id; equal ids never cut each other.  Null
 and empty texts have no words.  Empty tables give empty results.  Extra columns
@@ -33,6 +35,7 @@ pass through ``dedup``; names starting with ``sub_`` are reserved.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import column, cut, join_heavy, written
+from quarry.plans import sizing
 
 SPAN = 50
 GRAM = 10
@@ -288,6 +292,41 @@ def _paths(edges: DataFrame, nodes: DataFrame, span: int) -> DataFrame:
         F.min("source_start").alias("source_start")).drop("path")
 
 
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc, key, start, words, digest`` of the ranges wanted of each text."""
+    names = ["doc", "key", "start", "words", "digest"]
+    for b in batches:
+        at, starts, lengths, digests = [], [], [], []
+        for i, (raw, ranges) in enumerate(zip(b.column("packed"), b.column("ranges").to_pylist())):
+            own = unpacked(raw.as_py()).split()
+            for r in ranges:
+                at.append(i)
+                starts.append(r["start"])
+                lengths.append(r["words"])
+                digests.append(hashlib.sha256(b" ".join(own[r["start"]:r["start"] + r["words"]])).digest())
+        rows = pa.array(at, pa.int64())
+        yield pa.RecordBatch.from_arrays([b.column("doc").take(rows), b.column("key").take(rows), pa.array(starts, pa.int64()),
+                                          pa.array(lengths, pa.int64()), pa.array(digests, pa.binary())], names)
+
+
+def verified(spans: DataFrame, df: DataFrame) -> DataFrame:
+    """The spans whose words equal those at their source coordinates; ``df(doc, key, packed)`` holds the texts."""
+    spans = written(spans)
+    source = F.struct("source", "source_key", "source_start", "words").alias("range")
+    used = spans.groupBy(source).agg(F.count(F.lit(1)).alias("uses"))
+    place = ["doc", "key", "start", "words"]
+    wanted = spans.select(*place).unionByName(used.select(
+        F.col("range.source").alias("doc"), F.col("range.source_key").alias("key"), F.col("range.source_start").alias("start"), "range.words"))
+    wanted = wanted.groupBy("doc", "key").agg(F.collect_set(F.struct("start", "words")).alias("ranges"))
+    texts = df.join(sizing.broadcast_if_small(wanted), ["doc", "key"]).select("doc", "key", "packed", "ranges")
+    digests = texts.mapInArrow(_digests, "doc long, key long, start long, words long, digest binary")
+    digests = written(digests.groupBy(*place).agg(F.min("digest").alias("digest")))
+    at = digests.select(F.struct(F.col("doc").alias("source"), F.col("key").alias("source_key"), F.col("start").alias("source_start"),
+                                 "words").alias("range"), F.col("digest").alias("source_digest"))
+    own = spans.join(digests, place).withColumn("range", source)
+    return join_heavy(own, at.join(used, "range"), "range", "uses").where("digest = source_digest").select(*spans.columns)
+
+
 def _keep(span: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -338,7 +377,7 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int =
     hashed = rows.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_packed").alias("packed"))
     ids = cut(ids.select(F.col("sub_doc").alias("doc"), F.col("sub_key").alias("key"), F.col("sub_digest").alias("digest")).distinct())
     least = cut(ids.groupBy("digest").agg(F.min(F.struct("doc", "key")).alias("e"), F.count(F.lit(1)).alias("rows")))
-    spans = repeated_spans(texts, hashed, least.select("e.doc", "e.key").distinct(), span, gram)
+    spans = verified(repeated_spans(texts, hashed, least.select("e.doc", "e.key").distinct(), span, gram), hashed)
     copies = join_heavy(ids, least, "digest", "rows").select("doc", "key", (F.col("doc") > F.col("e.doc")).alias("sub_copy")).where("sub_copy")
     per_doc = spans.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "words")).alias("sub_spans"))
     plan = copies.join(per_doc, ["doc", "key"], "full").withColumnsRenamed({"doc": "sub_doc", "key": "sub_key"})

@@ -412,6 +412,16 @@ def test_substrings_equal_brute_force(docs, empty):
     assert sorted((r.doc_id if r.doc_id is not None else inf, r.sub_words, r.sub_removed, r.sub_kept) for r in rows) == sorted(want)
 
 
+def test_spans_are_verified_at_their_source(spark):
+    texts = {1: "a b c d e f g", 2: "x b c d y", 3: "b c d"}
+    packed = spark.createDataFrame([(i, 10 * i, t) for i, t in texts.items()], "doc long, key long, sub_text string").mapInArrow(
+        substring._packed, "doc long, key long, sub_packed binary").withColumnRenamed("sub_packed", "packed")
+    spans = [(2, 20, 1, 3, 1, 10, 1), (3, 30, 0, 3, 1, 10, 1), (2, 20, 1, 3, 1, 10, 2), (3, 30, 0, 2, 2, 20, 1), (3, 30, 0, 2, 2, 20, 0)]
+    df = spark.createDataFrame(spans, "doc long, key long, start long, words long, source long, source_key long, source_start long")
+    got = sorted(map(tuple, substring.verified(df, packed).collect()))
+    assert got == sorted([spans[0], spans[1], spans[3]])
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 101), (102, 100), (5, 5)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
