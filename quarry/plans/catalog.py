@@ -395,6 +395,32 @@ def run_object(spark, sf_dir):
                        F.try_element_at("options", F.col("answer")).alias("chosen"))
 
 
+@register("requests_roundtrip")
+def requests_roundtrip(spark, sf_dir):
+    """Queries and requests as JSON arrays, read back in splits and joined by key."""
+    queries, requests = fx.conversation_queries(spark, sf_dir), fx.conversation_requests(spark, sf_dir)
+    path = scratch_path(spark, "request_files")
+    asked = queries.select(F.col("qid").alias("id"), "question")
+    writers.write_json_array(asked, f"{path}/queries", "id", per_file=200)
+    options = F.create_map(F.lit("A"), F.col("answer"), F.lit("B"), F.lit('none of "these"\n},'))
+    full = requests.select(F.col("qid").alias("id"), F.lit(None).cast("string").alias("question"), options.alias("options"),
+                           F.lit("A").alias("answer"))
+    writers.write_json_array(full, f"{path}/requests", "id", per_file=200)
+    back = readers.read_requests(spark, f"{path}/requests").select("qid", "options", F.col("answer").alias("letter"))
+    return readers.read_queries(spark, f"{path}/queries").join(back, "qid", "left").select(
+        "qid", "question", F.try_element_at("options", F.col("letter")).alias("answer"))
+
+
+@register("gold_roundtrip")
+def gold_roundtrip(spark, sf_dir):
+    """Known-item gold as a JSON object keyed by query, read back."""
+    gold, path = _known_item(spark, sf_dir), scratch_path(spark, "gold_file")
+    item = F.struct(F.col("doc_id").cast("string").alias("id"), F.col("relevance_score").cast("double").alias("relevance_score"))
+    per_q = gold.groupBy("qid").agg(F.array_sort(F.collect_list(item)).alias("manually_selected_top_5"))
+    writers.write_json_object(per_q, path, "qid", per_file=10)
+    return readers.read_gold(spark, path).select("qid", "id", "relevance_score")
+
+
 @register("query_request_join")
 def query_request_join(spark, sf_dir):
     q = fx.conversation_queries(spark, sf_dir)

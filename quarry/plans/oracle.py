@@ -406,12 +406,17 @@ r AS (SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn - 1 AS VARCHAR) AS qid
       FROM conversations WHERE role = 'assistant')
 SELECT q.qid, q.question, r.answer FROM q LEFT JOIN r USING (qid)"""
 
+SQL["requests_roundtrip"] = SQL["query_request_join"]
+
 KNOWN_ITEM = """known AS (
   SELECT b.item_id AS qid, d.doc_id, 2::INTEGER AS relevance_score
   FROM benchmark b JOIN documents d ON contains(d.text, b.text))"""
 
 SQL["known_item_gold"] = f"""WITH {KNOWN_ITEM} SELECT qid, doc_id, relevance_score FROM known"""
 
+SQL["gold_roundtrip"] = f"""WITH {KNOWN_ITEM}
+SELECT CAST(qid AS VARCHAR) AS qid, CAST(doc_id AS VARCHAR) AS id, relevance_score::DOUBLE AS relevance_score FROM known"""
+
 SQL["keyword_relevance"] = f"""WITH {retrieval_ctes()}
 SELECT qid, rank, doc_id, gain FROM judged WHERE method = 'rrf'"""
 

@@ -1,7 +1,7 @@
 """Readers with declared schemas (never inferred).
 
 * corpus: JSON lines ``{id, title, content, contents}`` or parquet
-* query set / request set: a JSON array of objects (small files, ``multiLine``)
+* query set / request set: a JSON array of objects, read in splits
 * run: per-query rows (JSON lines, the layout ``writers.write_run`` produces) or
   one JSON object keyed by query id (the single-file layout)
 * gold labels: one JSON object ``qid -> {manually_selected_top_5: [{id, relevance_score}]}``
@@ -73,31 +73,57 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "json", source: str |
     raise ValueError(f"unknown format {fmt}")
 
 
+def _records(spark: SparkSession, path: str, opening: str, schema: T.DataType, indent: int) -> DataFrame:
+    """``v``: the parsed records of JSON arrays or objects, read in splits.
+
+    A file laid out with ``indent`` spaces is cut where an entry of the outermost
+    level closes (a line feed, the indent, brace and comma occur nowhere else), so
+    large files are read by many tasks.  A record lacks its closing brace, but for
+    the last one; a file laid out otherwise is one record.
+    """
+    raw = spark.read.option("lineSep", "\n" + " " * indent + "},").text(path).where(F.trim("value") != "")
+    body = F.concat(F.lit(opening), F.regexp_replace("value", r"^\s*" + ("\\[" if opening == "[" else "\\{(?=\\s*[\"}])"), ""))
+    closed = F.concat(body, F.lit("}" + ("]" if opening == "[" else "}")))
+    return raw.select(F.coalesce(F.from_json(closed, schema), F.from_json(body, schema)).alias("v"))
+
+
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType, indent: int = 2) -> DataFrame:
+    """The elements of JSON arrays of objects, as rows."""
+    got = _records(spark, path, "[", T.ArrayType(schema), indent)
+    return got.select(F.inline("v"))
+
+
+def read_json_object(spark: SparkSession, path: str, entry: T.StructType, indent: int = 2) -> DataFrame:
+    """``key, e``: the entries of JSON objects of objects."""
+    got = _records(spark, path, "{", T.MapType(T.StringType(), entry), indent)
+    return got.select(F.explode("v").alias("key", "e"))
+
+
 def read_queries(spark: SparkSession, path: str) -> DataFrame:
     """JSON array of ``{id, question}`` -> ``(qid, question)``."""
-    return (spark.read.option("multiLine", True).schema(QUERY_SCHEMA).json(path)
-                 .select(F.col("id").alias("qid"), "question"))
+    return read_json_array(spark, path, QUERY_SCHEMA).select(F.col("id").alias("qid"), "question")
 
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
     """JSON array of ``{id, question, options, answer}`` -> ``(qid, question, options, answer)``."""
-    return (spark.read.option("multiLine", True).schema(REQUEST_SCHEMA).json(path)
-                 .select(F.col("id").alias("qid"), "question", "options", "answer"))
+    return read_json_array(spark, path, REQUEST_SCHEMA).select(F.col("id").alias("qid"), "question", "options", "answer")
 
 
 def read_run(spark: SparkSession, path: str, layout: str = "lines", method: str | None = None) -> DataFrame:
     """Run table ``(qid, question, full_question, method, retriever, latency_ms, num_results, top_results)``.
 
     ``lines``: one query per line.  ``object``: a file is one JSON object keyed by
-    query id, laid out over any lines.  ``object_lines``: such objects on a line
+    query id, laid out over many lines and read in splits.  ``object_lines``: such objects on a line
     each (as ``write_run`` writes them), read in splits.
     """
     if layout == "lines":
         return spark.read.schema(RUN_LINE_SCHEMA).json(path)
     if layout in ("object", "object_lines"):
-        text = spark.read.text(path, wholetext=layout == "object")
-        parsed = text.select(F.explode(F.from_json("value", T.MapType(T.StringType(), RUN_ENTRY)))
-                             .alias("qid", "e"))
+        if layout == "object":
+            parsed = read_json_object(spark, path, RUN_ENTRY).withColumnRenamed("key", "qid")
+        else:
+            parsed = spark.read.text(path).select(
+                F.explode(F.from_json("value", T.MapType(T.StringType(), RUN_ENTRY))).alias("qid", "e"))
         return parsed.select(
             "qid", "e.question", "e.full_question", F.lit(method).cast("string").alias("method"), "e.retriever",
             "e.latency_ms", F.size("e.top_20_results").alias("num_results"),
@@ -107,9 +133,7 @@ def read_run(spark: SparkSession, path: str, layout: str = "lines", method: str
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """``(qid, id, relevance_score, pos)``; entries without an id are dropped."""
-    text = spark.read.text(path, wholetext=True)
-    per_q = text.select(F.explode(F.from_json("value", T.MapType(T.StringType(), GOLD_ENTRY)))
-                        .alias("qid", "e"))
+    per_q = read_json_object(spark, path, GOLD_ENTRY).withColumnRenamed("key", "qid")
     items = per_q.select("qid", F.posexplode("e.manually_selected_top_5").alias("pos", "g"))
     return (items.where(F.col("g.id").isNotNull())
                  .select("qid", F.col("g.id").alias("id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,29 @@ def write_vectors(vectors: DataFrame, path: str, vec_col: str = "embedding",
     out.write.mode(mode).parquet(path)
 
 
+def _laid_out(entries: DataFrame, order: Column, text: Column, brackets: str, path: str, per_file: int) -> None:
+    """Files of one JSON array or object each, entries two spaces in and in order, of about ``per_file`` entries."""
+    files = F.greatest(F.ceil(entries.agg(F.count(F.lit(1))).scalar() / per_file), F.lit(1)).cast("long")
+    entry = F.struct(order.alias("order"), F.concat(F.lit("  "), F.regexp_replace(text, "\n", "\n  ")).alias("text"))
+    dealt = entries.select(F.pmod(F.xxhash64(order), files).alias("file"), entry.alias("entry"))
+    whole = dealt.groupBy("file").agg(F.array_sort(F.collect_list("entry")).alias("e"))
+    body = F.concat(F.lit(brackets[0] + "\n"), F.array_join(F.col("e.text"), ",\n"), F.lit("\n" + brackets[1]))
+    whole.select(body.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
+def write_json_array(df: DataFrame, path: str, order_by: str, per_file: int = 100_000) -> None:
+    """Rows as JSON arrays of objects, laid out as the readers cut them."""
+    _laid_out(df, F.col(order_by).cast("string"), F.to_json(F.struct(*df.columns), {"pretty": "true"}), "[]", path, per_file)
+
+
+def write_json_object(df: DataFrame, path: str, key: str, per_file: int = 100_000) -> None:
+    """Rows as JSON objects keyed by one column (one row per key)."""
+    quoted = F.to_json(F.array(F.col(key).cast("string")))
+    entry = F.to_json(F.struct(*[c for c in df.columns if c != key]), {"pretty": "true"})
+    text = F.concat(F.substring(quoted, F.lit(2), F.char_length(quoted) - 2), F.lit(": "), entry)
+    _laid_out(df, F.col(key).cast("string"), text, "{}", path, per_file)
+
+
 def write_run(run: DataFrame, path: str, layout: str = "lines", queries_per_object: int = 1000,
               qid_col: str = "qid") -> None:
     """The run by query id, with the request (``full_question``) where the run has one.

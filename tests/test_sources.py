@@ -77,3 +77,32 @@ def test_a_failed_write_shows_no_run(spark, tmp_path):
     with pytest.raises(Exception, match="lost"):
         writers.write_run(run.withColumn("top_results", fails), str(tmp_path / "run"), layout="object", queries_per_object=2)
     assert not list(tmp_path.glob("run/part-*")) and not (tmp_path / "run" / "_SUCCESS").exists()
+
+
+@pytest.mark.parametrize("indent", [2, 4, None])
+def test_arrays_and_objects_of_any_layout_are_read_in_splits(spark, tmp_path, indent):
+    items = [{"id": f"q{i}", "question": f"is }}, this [{i}] \n  }},?", "options": {"A": "[", "B": "]}"}, "answer": "A"} for i in range(400)]
+    (tmp_path / "r.json").write_text(json.dumps(items, indent=indent))
+    got = readers.read_json_array(spark, str(tmp_path / "r.json"), readers.REQUEST_SCHEMA, indent or 2)
+    assert {r.id: (r.question, r.options, r.answer) for r in got.collect()} == {
+        x["id"]: (x["question"], x["options"], x["answer"]) for x in items}
+    gold = {x["id"]: {"manually_selected_top_5": [{"id": str(j), "relevance_score": j / 2} for j in range(i % 3)]} for i, x in enumerate(items)}
+    (tmp_path / "g.json").write_text(json.dumps(gold, indent=indent))
+    rows = readers.read_json_object(spark, str(tmp_path / "g.json"), readers.GOLD_ENTRY, indent or 2).collect()
+    assert {r.key: [(g.id, g.relevance_score) for g in r.e.manually_selected_top_5] for r in rows} == {
+        k: [(g["id"], g["relevance_score"]) for g in v["manually_selected_top_5"]] for k, v in gold.items()}
+    if indent:
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        try:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+            split = readers.read_json_array(spark, str(tmp_path / "r.json"), readers.REQUEST_SCHEMA, indent)
+            assert split.select(F.spark_partition_id()).distinct().count() > 3 and split.count() == 400
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_empty_arrays_and_objects(spark, tmp_path):
+    for i, (text, read) in enumerate([("[]", readers.read_queries), ("", readers.read_queries), ("[\n]", readers.read_queries),
+                                      ("{}", readers.read_gold), ("", readers.read_gold), ("{\n}\n", readers.read_gold)]):
+        (tmp_path / str(i)).write_text(text)
+        assert read(spark, str(tmp_path / str(i))).count() == 0
