@@ -118,13 +118,15 @@ def resample(df: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str
         raise ValueError(f"columns {clash} have names the operator needs")
     keep = [c for c in df.columns if c != text]
     body, goal = column(text), column(target_text)
-    cuts = ends(body)
+    # A step of its own, so that the ends are found once and not in each expression that uses them.
     docs = df.select(*[column(c) for c in keep], column(doc_id).cast("long").alias("res_id"), F.monotonically_increasing_id().alias("res_row"),
-                     F.transform(cuts, lambda e: e["key"]).alias("res_lines"), border_pairs(cuts, buckets).alias("res_across"))
-    docs = written(docs)
+                     ends(body).alias("res_ends"))
+    docs = written(docs.withColumn("res_lines", F.col("res_ends.key")).withColumn("res_across", border_pairs(F.col("res_ends"), buckets))
+                   .drop("res_ends"))
     lines = written(distinct_lines(df, body, buckets))
     source = counts(lines, docs.select(F.col("res_across").alias("across")))
-    wanted = counts(distinct_lines(target, goal, buckets), target.select(border_pairs(ends(goal), buckets).alias("across")))
+    borders = target.select(ends(goal).alias("e")).select(border_pairs(F.col("e"), buckets).alias("across"))
+    wanted = counts(distinct_lines(target, goal, buckets), borders)
     gain = gains(cut(source), cut(wanted), buckets)
     per_line = cut(lines.select("key", "occurrences", "words", F.size("buckets").alias("features"), gain_sum(F.col("buckets"), gain).alias("gain")))
     uses = join_heavy(docs.select("res_row", F.explode("res_lines").alias("key")), per_line, "key", "occurrences")
