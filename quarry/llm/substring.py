@@ -45,7 +45,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import column, cut, join_heavy, written
-from quarry.plans import sizing
 
 SPAN = 50
 GRAM = 10
@@ -296,17 +295,19 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc, key, start, words, digest`` of the ranges wanted of each text."""
     names = ["doc", "key", "start", "words", "digest"]
     for b in batches:
-        at, starts, lengths, digests = [], [], [], []
-        for i, (raw, ranges) in enumerate(zip(b.column("packed"), b.column("ranges").to_pylist())):
-            own = unpacked(raw.as_py()).split()
-            for r in ranges:
-                at.append(i)
-                starts.append(r["start"])
-                lengths.append(r["words"])
-                digests.append(hashlib.sha256(b" ".join(own[r["start"]:r["start"] + r["words"]])).digest())
-        rows = pa.array(at, pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column("doc").take(rows), b.column("key").take(rows), pa.array(starts, pa.int64()),
-                                          pa.array(lengths, pa.int64()), pa.array(digests, pa.binary())], names)
+        for i in range(0, b.num_rows, 256):
+            part = b.slice(i, 256)
+            at, starts, lengths, digests = [], [], [], []
+            for j, (raw, ranges) in enumerate(zip(part.column("packed"), part.column("ranges"))):
+                own = unpacked(raw.as_py()).split()
+                for r in ranges.as_py():
+                    at.append(j)
+                    starts.append(r["start"])
+                    lengths.append(r["words"])
+                    digests.append(hashlib.sha256(b" ".join(own[r["start"]:r["start"] + r["words"]])).digest())
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("doc").take(rows), part.column("key").take(rows), pa.array(starts, pa.int64()),
+                                              pa.array(lengths, pa.int64()), pa.array(digests, pa.binary())], names)
 
 
 def verified(spans: DataFrame, df: DataFrame) -> DataFrame:
@@ -318,9 +319,9 @@ def verified(spans: DataFrame, df: DataFrame) -> DataFrame:
     wanted = spans.select(*place).unionByName(used.select(
         F.col("range.source").alias("doc"), F.col("range.source_key").alias("key"), F.col("range.source_start").alias("start"), "range.words"))
     wanted = wanted.groupBy("doc", "key").agg(F.collect_set(F.struct("start", "words")).alias("ranges"))
-    texts = df.join(sizing.broadcast_if_small(wanted), ["doc", "key"]).select("doc", "key", "packed", "ranges")
+    texts = df.join(wanted, ["doc", "key"]).select("doc", "key", "packed", "ranges")
     digests = texts.mapInArrow(_digests, "doc long, key long, start long, words long, digest binary")
-    digests = written(digests.groupBy(*place).agg(F.min("digest").alias("digest")))
+    digests = written(digests).dropDuplicates(place)  # rows that repeat an id and text
     at = digests.select(F.struct(F.col("doc").alias("source"), F.col("key").alias("source_key"), F.col("start").alias("source_start"),
                                  "words").alias("range"), F.col("digest").alias("source_digest"))
     own = spans.join(digests, place).withColumn("range", source)
