@@ -91,3 +91,23 @@ def test_a_workspace_stores_each_text_once(spark, tmp_path):
     later = set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir').replace('file:', '', 1)}/quarry/*"))
     assert len(later - made) == 1 and index.postings.count() == n == index.postings.select("token", "doc_id").distinct().count()
     assert index.corpus_stats.first()["n_docs"] == 51
+
+
+def test_vectors_of_several_widths_tokenize_each_text_once(spark, corpus, tmp_path):
+    made = encode.hash_encode_dims(corpus, {128: "wide", 32: "narrow"})
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("regexp_replace") == 1
+    rows = sorted(made.collect(), key=lambda r: (r.doc_id is None, r.doc_id))
+    for dim, name in ((128, "wide"), (32, "narrow")):
+        alone = sorted(encode.hash_encode(corpus, dim=dim).collect(), key=lambda r: (r.doc_id is None, r.doc_id))
+        assert [(r.doc_id, r[name]) for r in rows] == [(r.doc_id, r.embedding) for r in alone]
+        plain = encode.HashingEncoder(dim)([ODD[0]])[0]
+        assert np.allclose(next(r[name] for r in rows if r.doc_id == 1000), plain / np.linalg.norm(plain))
+    spark.createDataFrame([(i % 40, f"title {i}\nbody {i}") for i in range(50)] + [(7, None), (None, "x")],
+                          "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    ws = Workspace(spark, str(tmp_path))
+    ws.encode_documents(128, 32)
+    assert ws.doc_vectors(128).inputFiles() == ws.doc_vectors(32).inputFiles()
+    assert ws.doc_vectors(32).columns == ["doc_id", "embedding"] and ws.doc_vectors(32).count() == 41
+    assert {len(r.embedding) for r in ws.doc_vectors(32).collect()} == {32}
+    assert ws.doc_vectors(64).inputFiles() != ws.doc_vectors(32).inputFiles()
