@@ -118,3 +118,43 @@ def test_bounds_skip_frequent_postings():
     assert sorted(docs) == sorted(order) and np.allclose(scores, full[docs])
     assert block.read < 0.6 * sum(map(len, lists.values()))
     assert len(block.best(np.arange(3), weight, 20, 9.0, 6)[0]) == 0  # a block below the threshold is not read at all
+
+
+def test_packed_queries_come_back(monkeypatch):
+    """Queries are split at a bound, and what is copied to every block is small (495 bytes a query and block before, in a shuffle)."""
+    rng = random.Random(5)
+    asked = [(f"q{i}" if i % 7 else None, sorted({f"w{int(rng.paretovariate(0.8)) % 5000}" for _ in range(rng.randrange(0, 40))})) for i in range(3000)]
+    weight = {t: rng.random() for _, ts in asked for t in ts}
+    table = pa.table({"qid": pa.array([q for q, _ in asked]), "tokens": pa.array([ts for _, ts in asked], pa.list_(pa.string())),
+                      "weights": pa.array([[weight[t] * (1 + i % 2) for t in ts] for i, (_, ts) in enumerate(asked)], pa.list_(pa.float64())),
+                      "floor": pa.array([None if i % 3 else i / 7 for i in range(3000)], pa.float64())})
+    monkeypatch.setattr(lexical_index, "PACK_TERMS", 20_000)
+    rows = list(lexical_index.pack_queries("qid")(iter(table.to_batches(max_chunksize=700))))
+    assert len(rows) >= 5
+    back, n_bytes = [], 0
+    for row in rows:
+        packed = row.column("packed")[0].as_buffer()
+        n_bytes += packed.size
+        qids, floors, which, code, tokens, weights = lexical_index._unpacked(packed)
+        assert len(qids) * 32 + len(code) <= 20_000
+        for i, q in enumerate(qids.to_pylist()):
+            own = code[which == i]
+            back.append((q, floors[i], dict(zip([tokens[int(c)].as_py() for c in own], weights[own].tolist()))))
+    assert back == [(q, i / 7 if i % 3 == 0 else -np.inf, {t: weight[t] * (1 + i % 2) for t in ts}) for i, (q, ts) in enumerate(asked)]
+    assert n_bytes < 150 * 3000
+
+
+def test_many_queries_are_searched_in_rounds(corpus, queries, expected, tmp_path, monkeypatch):
+    monkeypatch.setattr(lexical_index, "ROUND_QUERIES", 2)
+    index = LexicalIndex.build(corpus, str(tmp_path / "i"))
+    found = index.top_k(queries, k=3, first_pass=2)
+    assert ranked(found) == expected[3] and found._jdf.queryExecution().toString().count("FlatMapCoGroupsInArrow") >= 2
+
+
+def test_thresholds_come_in_two_passes(corpus, queries, expected, tmp_path, monkeypatch):
+    """One block in 16, then one in 4, then the rest; each pass is stored."""
+    monkeypatch.setattr(lexical_index, "BLOCK_DOCS", 40)
+    index, stored, kept = LexicalIndex.build(corpus, str(tmp_path / "i")), [], lexical_index.materialize
+    monkeypatch.setattr(lexical_index, "materialize", lambda df, name: stored.append(name) or kept(df, name))
+    assert ranked(index.top_k(queries, k=3, first_pass=16)) == expected[3]
+    assert stored.count("first_pass") == 2
