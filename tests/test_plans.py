@@ -4,6 +4,7 @@ import pytest
 
 from sf_paths import SF_SMALL
 from quarry.operators import bm25, dense
+from quarry.plans import catalog
 from quarry.plans.workspace import Workspace
 
 
@@ -43,3 +44,9 @@ def test_dense_topk_two_level(ws):
     p = plan(r)
     assert "FlatMapCoGroupsInArrow" in p and "WindowGroupLimit" in p
     assert "Broadcast" not in p  # neither side passes through the driver
+
+
+def test_label_metrics_are_made_once(spark):
+    """The search's candidates were ranked, joined and judged once for the averages and once for the number of queries."""
+    p = plan(catalog.QUERIES["label_dense_metrics"](spark, SF_SMALL))
+    assert "FlatMapCoGroupsInArrow" not in p and "WindowGroupLimit" not in p
